@@ -1,0 +1,5 @@
+"""Streaming surface.
+
+The workload this library covers is batch only: sessions, running totals and
+deduplication all work on bounded tables. There are no streaming operators.
+"""
