@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.tables import as_double, as_long, money, table
+from suite.tables import as_double, as_long, cents, from_cents, money, table
 from tablewright.operators import windows as W
 
 # Small enough that every user of the test tables counts as hot and is cut into blocks.
@@ -12,6 +12,10 @@ BLOCKED = 20
 
 
 def _events(spark, folder):
+    return table(spark, folder, "events").select("user_id", "ts", cents("value").alias("value"))
+
+
+def _priced_events(spark, folder):
     return table(spark, folder, "events").select("user_id", "ts", money("value").alias("value"))
 
 
@@ -33,50 +37,50 @@ def top_per_group_ties(spark, folder):
 
 def running_total(spark, folder):
     return W.running_total(_events(spark, folder), "user_id", "ts", "value").withColumns(
-        as_double("value", "running_total")
+        from_cents("value", "running_total")
     )
 
 
 def running_total_ties(spark, folder):
     """Rows of one day share their total."""
     daily = table(spark, folder, "events").select(
-        "event_id", "user_id", F.col("ts").cast("date").alias("day"), money("value").alias("value")
+        "event_id", "user_id", F.col("ts").cast("date").alias("day"), cents("value").alias("value")
     )
     return W.running_total(daily, "user_id", "day", "value").withColumns(
-        as_double("value", "running_total")
+        from_cents("value", "running_total")
     )
 
 
 def running_total_blocked(spark, folder):
     total = W.running_total(_events(spark, folder), "user_id", "ts", "value", hot_rows=BLOCKED)
-    return total.withColumns(as_double("value", "running_total"))
+    return total.withColumns(from_cents("value", "running_total"))
 
 
 def previous_value(spark, folder):
     return W.previous_value(_events(spark, folder), "user_id", "ts", "value").withColumns(
-        as_double("value", "previous")
+        from_cents("value", "previous")
     )
 
 
 def previous_value_blocked(spark, folder):
     lagged = W.previous_value(_events(spark, folder), "user_id", "ts", "value", hot_rows=BLOCKED)
-    return lagged.withColumns(as_double("value", "previous"))
+    return lagged.withColumns(from_cents("value", "previous"))
 
 
 def delta(spark, folder):
     return W.delta(_events(spark, folder), "user_id", "ts", "value").withColumns(
-        as_double("value", "difference")
+        from_cents("value", "difference")
     )
 
 
 def moving_avg_7(spark, folder):
-    return W.moving_avg(_events(spark, folder), "user_id", "ts", "value").withColumns(
+    return W.moving_avg(_priced_events(spark, folder), "user_id", "ts", "value").withColumns(
         as_double("value", "moving_avg")
     )
 
 
 def moving_avg_7_blocked(spark, folder):
-    means = W.moving_avg(_events(spark, folder), "user_id", "ts", "value", hot_rows=BLOCKED)
+    means = W.moving_avg(_priced_events(spark, folder), "user_id", "ts", "value", hot_rows=BLOCKED)
     return means.withColumns(as_double("value", "moving_avg"))
 
 

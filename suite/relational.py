@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.tables import as_double, as_long, money, table
+from suite.tables import as_double, as_long, cents, from_cents, money, table
 from tablewright.functions import scalars as S
 from tablewright.operators import aggregates as A
 from tablewright.operators import joins as J
@@ -63,6 +63,13 @@ def containing(spark, folder):
     return R.containing(table(spark, folder, "part").select("p_partkey", "p_name"), "p_name", "ring")
 
 
+def non_empty(spark, folder):
+    part = table(spark, folder, "part").select(
+        "p_partkey", F.expr("CASE WHEN p_size % 4 = 0 THEN '' WHEN p_size % 4 = 1 THEN NULL ELSE p_name END").alias("p_name")
+    )
+    return R.non_empty(part, "p_name")
+
+
 def distinct_rows(spark, folder):
     return R.distinct_rows(table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey"))
 
@@ -121,6 +128,10 @@ def join_inner(spark, folder):
     return J.inner_join(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey")
 
 
+def join_partitioned(spark, folder):
+    return J.inner_join(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey", 16)
+
+
 def join_left(spark, folder):
     return J.left_join(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey")
 
@@ -152,8 +163,8 @@ def group_count(spark, folder):
 
 
 def group_sum(spark, folder):
-    orders = table(spark, folder, "orders").select("o_custkey", money("o_totalprice").alias("price"))
-    return A.group_sum(orders, "o_custkey", "price", digits=2).withColumns(as_double("total"))
+    orders = table(spark, folder, "orders").select("o_custkey", cents("o_totalprice").alias("price"))
+    return A.group_sum(orders, "o_custkey", "price", digits=2).withColumns(from_cents("total"))
 
 
 def group_avg(spark, folder):
@@ -206,20 +217,20 @@ def fold_sum(spark, folder):
 
 def pivot_sum(spark, folder):
     events = table(spark, folder, "events").select(
-        F.col("ts").cast("date").alias("day"), "event_type", money("value").alias("value")
+        F.col("ts").cast("date").alias("day"), "event_type", cents("value").alias("value")
     )
     kinds = ["click", "error", "purchase", "signup", "view"]
     wide = A.pivot_sum(events, "day", "event_type", "value", kinds)
-    return wide.withColumns(as_double(*kinds))
+    return wide.withColumns(from_cents(*kinds))
 
 
 def pivot_sum_found(spark, folder):
     """Pivot whose columns are found in the data."""
     events = table(spark, folder, "events").select(
-        "user_id", "event_type", money("value").alias("value")
+        "user_id", "event_type", cents("value").alias("value")
     )
     wide = A.pivot_sum(events, "user_id", "event_type", "value")
-    return wide.withColumns(as_double(*(c for c in wide.columns if c != "user_id")))
+    return wide.withColumns(from_cents(*(c for c in wide.columns if c != "user_id")))
 
 
 def _span(spark, folder):
@@ -242,12 +253,20 @@ def summary_stats(spark, folder):
     return stats.withColumns({**rounded, **as_long("min", "q1", "median", "q3", "max")})
 
 
+def pandas_bridge(spark, folder):
+    """To a pandas-on-Spark frame, a derived column and a filter there, and back."""
+    sizes = table(spark, folder, "part").select("p_partkey", F.col("p_size").cast("long").alias("size"))
+    frame = sizes.pandas_api()
+    frame["in_ten"] = frame["size"] + 10
+    return frame[frame["size"] > 30].to_spark()
+
+
 def salted_sum(spark, folder):
     lines = table(spark, folder, "lineitem").select(
-        "l_returnflag", "l_orderkey", "l_partkey", money("l_extendedprice").alias("price")
+        "l_returnflag", "l_orderkey", "l_partkey", cents("l_extendedprice").alias("price")
     )
     total = A.salted_sum(lines, "l_returnflag", "price", salt_by=["l_orderkey", "l_partkey"])
-    return total.withColumns(as_double("total"))
+    return total.withColumns(from_cents("total"))
 
 
 def sort_all(spark, folder):
@@ -312,8 +331,8 @@ def format_label(spark, folder):
 
 
 def spend_by_customer(spark, folder):
-    orders = table(spark, folder, "orders").select("o_custkey", money("o_totalprice").alias("price"))
-    return reports.spend_by_customer(orders, "o_custkey", "price").withColumns(as_double("total"))
+    orders = table(spark, folder, "orders").select("o_custkey", cents("o_totalprice").alias("price"))
+    return reports.spend_by_customer(orders, "o_custkey", "price").withColumns(from_cents("total"))
 
 
 def extreme_by_key(spark, folder):
@@ -400,6 +419,8 @@ ORACLE = {
     "filter_rows": """SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, p_type FROM part
         WHERE (p_size <= 35 AND p_type = 'PROMO') OR p_size % 2 = 0""",
     "containing": "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring')",
+    "non_empty": """SELECT p_partkey, p_name FROM part
+        WHERE p_size % 4 NOT IN (0, 1) AND p_name <> ''""",
     "distinct_rows": "SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem",
     "dedup": """SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey
@@ -414,6 +435,7 @@ ORACLE = {
         CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "explode_list": "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part",
     "join_inner": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_RECENT} USING (c_custkey)",
+    "join_partitioned": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_RECENT} USING (c_custkey)",
     "join_left": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN {_RECENT} USING (c_custkey)",
     "join_anti": f"SELECT c_custkey, c_name FROM customer ANTI JOIN {_RECENT} USING (c_custkey)",
     "join_chain": """SELECT o_orderkey, c_custkey, c_name || ' ' || c_mktsegment AS customer_name, n_name
@@ -452,6 +474,8 @@ ORACLE = {
         CAST(quantile_disc(p_size, 0.5) AS BIGINT) AS median,
         CAST(quantile_disc(p_size, 0.75) AS BIGINT) AS q3, CAST(max(p_size) AS BIGINT) AS max
         FROM part""",
+    "pandas_bridge": """SELECT p_partkey, CAST(p_size AS BIGINT) AS size,
+        CAST(p_size + 10 AS BIGINT) AS in_ten FROM part WHERE p_size > 30""",
     "salted_sum": f"SELECT l_returnflag, CAST(sum({_LINE_PRICE}) AS DOUBLE) AS total FROM lineitem GROUP BY 1",
     "sort_all": "SELECT o_orderkey, o_orderpriority FROM orders",
     "top_k": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",

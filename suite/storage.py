@@ -63,6 +63,31 @@ def csv_long_separator(spark, folder):
     return S.read_csv(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string", header=False, sep="::")
 
 
+def csv_latin1(spark, folder):
+    """``|`` between fields, accented letters in ISO-8859-1."""
+    path = scratch_path(spark, "csv-latin1")
+    titles = table(spark, folder, "part").select("p_partkey", F.concat(F.lit("Pièce "), "p_name").alias("title"))
+    W.write_csv(titles, path, header=False, sep="|", encoding="ISO-8859-1")
+    return S.read_csv(
+        spark, path, "p_partkey bigint, title string", header=False, sep="|", encoding="ISO-8859-1"
+    )
+
+
+def csv_space(spark, folder):
+    path = scratch_path(spark, "csv-space")
+    W.write_csv(table(spark, folder, "part").select("p_partkey", "p_name"), path, header=False, sep=" ")
+    return S.read_csv(spark, path, "p_partkey bigint, p_name string", header=False, sep=" ")
+
+
+def csv_glob(spark, folder):
+    """Two folders read through one pattern."""
+    base = scratch_path(spark, "csv-glob")
+    orders = _orders(spark, folder)
+    W.write_csv(orders.filter("o_orderkey % 2 = 0"), f"{base}/even")
+    W.write_csv(orders.filter("o_orderkey % 2 = 1"), f"{base}/odd")
+    return S.read_csv(spark, f"{base}/*", ORDER_DDL)
+
+
 # Some lines lack a field, have one too many, or hold text where a number belongs.
 BAD_LINE = (
     "CASE WHEN o_orderkey % 10 = 1 THEN CAST(o_orderkey AS STRING) "
@@ -110,6 +135,21 @@ def json_roundtrip(spark, folder):
     return back.select("customer.id", "customer.name", "customer.orders.amount")
 
 
+def json_multiline(spark, folder):
+    """Arrays spread over lines, one file per 10,000 customer numbers."""
+    path = scratch_path(spark, "json-lines")
+    records = table(spark, folder, "customer").select(
+        F.floor(F.col("c_custkey") / 10_000).alias("batch"),
+        F.to_json(F.struct(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("customer"))).alias("record"),
+    )
+    arrays = records.groupBy("batch").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value")
+    )
+    arrays.write.partitionBy("batch").text(path)
+    back = S.read_json(spark, path, "customer struct<id: bigint, name: string>")
+    return back.select("customer.id", "customer.name")
+
+
 def text_roundtrip(spark, folder):
     path = scratch_path(spark, "text")
     table(spark, folder, "part").select(F.col("p_name").alias("value")).write.text(path)
@@ -194,6 +234,13 @@ def register_table(spark, folder):
     return C.register_table(spark, name, f"{folder}/part.parquet").select("p_partkey", "p_name")
 
 
+def describe_tables(spark, folder):
+    space = _namespace(spark)
+    for name in ("orders", "customer"):
+        C.register_table(spark, f"{space}.{name}", f"{folder}/{name}.parquet")
+    return C.describe_tables(spark, space).select("table_name", "column_name")
+
+
 def verify_counts(spark, folder):
     space = _namespace(spark)
     for name in ("orders", "customer"):
@@ -220,6 +267,12 @@ _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpri
 _GOOD = "FROM orders WHERE o_orderkey % 10 NOT IN (1, 2, 3)"
 
 ORACLE = {
+    "csv_latin1": "SELECT p_partkey, 'Pièce ' || p_name AS title FROM part",
+    "csv_space": "SELECT p_partkey, p_name FROM part",
+    "csv_glob": _ORDERS,
+    "json_multiline": "SELECT c_custkey AS id, c_name AS name FROM customer",
+    "describe_tables": """SELECT 'orders' AS table_name, column_name FROM (DESCRIBE orders) AS o
+        UNION ALL SELECT 'customer', column_name FROM (DESCRIBE customer) AS c""",
     "csv_roundtrip": _ORDERS,
     "csv_no_header": _ORDERS,
     "csv_inferred": _ORDERS,

@@ -16,6 +16,15 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)")
 
 
+def cents(name: str) -> Column:
+    """A money column in whole cents: exact, and much cheaper than a decimal."""
+    return F.rint(F.col(name) * 100).cast("long")
+
+
+def from_cents(*names: str) -> dict[str, Column]:
+    return {name: F.col(name) / 100 for name in names}
+
+
 def as_double(*names: str) -> dict[str, Column]:
     return {name: F.col(name).cast("double") for name in names}
 

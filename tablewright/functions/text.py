@@ -19,12 +19,16 @@ def _column(value: Column | str) -> Column:
 
 
 def words(value: Column | str, tokenizer: str) -> Column:
-    """Words of a text as an array (it may hold empty words; see ``word_count``)."""
+    """Words of a text as an array, in the case the tokenizer reads them.
+
+    The array may hold empty words, and ``ascii`` words still in mixed case:
+    ``word_count`` settles both per word, where generated code can do it.
+    """
     value = _column(value)
     if tokenizer == "whitespace":
         return F.split(value, WHITE_SPACE)
     if tokenizer == "ascii":
-        return F.transform(F.split(value, ASCII_GAP), F.lower)
+        return F.split(value, ASCII_GAP)
     if tokenizer == "regex":
         return F.regexp_extract_all(F.lower(value), F.lit(WORD_PATTERN), F.lit(0))
     raise ValueError(f"tokenizer must be one of {TOKENIZERS}")

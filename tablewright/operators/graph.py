@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import min_ties, top_k
-from tablewright.runtime import broadcast_if_small, cut_lineage
+from tablewright.runtime import BROADCAST_ROWS, cut_lineage
 
 # Distance given to vertices that were not reached.
 UNREACHED = 9999
@@ -52,35 +54,50 @@ def least_connected(degrees: DataFrame, names: DataFrame, default: str = "Unknow
     return lookup(min_ties(degrees, "connections"), names, "id", "name", default)
 
 
-def _start(edges: DataFrame, start: object) -> DataFrame:
-    kind = edges.schema["src"].dataType
-    return edges.sparkSession.range(1).select(
-        F.lit(start).cast(kind).alias("id"), F.lit(0).alias("distance")
-    )
+def _prepared(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """The two edge columns, written once because every round reads them."""
+    pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    return cut_lineage(pairs.filter("src IS NOT NULL AND dst IS NOT NULL"))
 
 
-def _expand(edges: DataFrame, frontier: DataFrame, visited: DataFrame, depth: int) -> DataFrame:
-    """Vertices the frontier points at: (id, ways, fresh, distance), written down.
+def _rounds(
+    edges: DataFrame, start: object, max_depth: int, target: object = None
+) -> Iterator[tuple[int, int, DataFrame]]:
+    """Breadth-first rounds as (depth, ways into the target, vertices seen so far).
 
-    ``ways`` counts frontier edges. A small frontier goes to the edges; a large
-    one is shuffled. Either way edges are added up per vertex before they move.
+    Each round joins the frontier with the edges and adds the hits up per vertex
+    before they move; a vertex in reach of very many edges costs one row per task.
+    A frontier of few rows goes to the edges, a larger one is shuffled. The round
+    is written down, and one row about it reaches the driver.
     """
-    ahead = broadcast_if_small(frontier.select(F.col("id").alias("src")))
-    hits = edges.join(ahead, "src").groupBy(F.col("dst").alias("id")).agg(
-        F.count(F.lit(1)).alias("ways")
+    kind = edges.schema["src"].dataType
+    seen = edges.sparkSession.range(1).select(
+        F.lit(start).cast(kind).alias("id"), F.lit(0).alias("distance")
     )
-    seen = visited.select("id", F.lit(True).alias("_seen"))
-    return cut_lineage(
-        hits.join(seen, "id", "left").select(
-            "id", "ways", F.col("_seen").isNull().alias("fresh"), F.lit(depth).alias("distance")
+    frontier, size, total = seen, 1, 1
+    for depth in range(1, max_depth + 1):
+        ahead = frontier.select(F.col("id").alias("src"))
+        ahead = F.broadcast(ahead) if size <= BROADCAST_ROWS else ahead
+        known = seen.select("id", F.lit(True).alias("_known"))
+        known = F.broadcast(known) if total <= BROADCAST_ROWS else known
+        hits = edges.join(ahead, "src").groupBy(F.col("dst").alias("id")).agg(
+            F.count(F.lit(1)).alias("ways")
         )
-    )
-
-
-def _prepared(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """The two edge columns, written once because every round reads them."""
-    pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    return cut_lineage(pairs.filter("src IS NOT NULL AND dst IS NOT NULL"))
+        reached = cut_lineage(
+            hits.join(known, "id", "left").select("id", "ways", F.col("_known").isNull().alias("fresh"))
+        )
+        state = reached.agg(
+            F.count(F.when(F.col("fresh"), 1)).alias("fresh"),
+            F.sum(F.when(F.col("id") == F.lit(target), F.col("ways"))).alias("ways"),
+        ).first()
+        frontier = reached.filter("fresh").select("id", F.lit(depth).alias("distance"))
+        size = state["fresh"]
+        total += size
+        if size:
+            seen = seen.unionByName(frontier)
+        yield depth, state["ways"] or 0, seen
+        if not size:
+            return
 
 
 def bfs_distances(
@@ -96,18 +113,14 @@ def bfs_distances(
     With ``keep_unreached`` the other vertices follow at distance 9999.
     """
     edges = _prepared(edges, src, dst)
-    visited = frontier = _start(edges, start)
-    for depth in range(1, max_depth + 1):
-        reached = _expand(edges, frontier, visited, depth)
-        frontier = reached.filter("fresh").select("id", "distance")
-        if frontier.isEmpty():
-            break
-        visited = visited.unionByName(frontier)
+    reached = None
+    for _, _, reached in _rounds(edges, start, max_depth):
+        pass
     if not keep_unreached:
-        return visited
+        return reached
     vertices = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
-    rest = vertices.join(visited, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
-    return visited.unionByName(rest)
+    rest = vertices.join(reached, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
+    return reached.unionByName(rest)
 
 
 def bfs(
@@ -121,25 +134,12 @@ def bfs(
     """First round in which a frontier edge points at ``target``.
 
     One row ``(distance, directions)``, where directions counts those edges, or
-    no row when the target is not met. Only one row per round reaches the driver.
+    no row when the target is not met.
     """
     edges = _prepared(edges, src, dst)
-    spark = edges.sparkSession
-    visited = frontier = _start(edges, start)
-    found = visited.select("distance", F.lit(0).cast("long").alias("directions")).limit(0)
-    for depth in range(1, max_depth + 1):
-        reached = _expand(edges, frontier, visited, depth)
-        state = reached.agg(
-            F.sum(F.when(F.col("id") == F.lit(target), F.col("ways"))).alias("directions"),
-            F.coalesce(F.sum(F.col("fresh").cast("long")), F.lit(0)).alias("fresh"),
-        ).first()
-        if state["directions"]:
-            return spark.range(1).select(
-                F.lit(depth).alias("distance"),
-                F.lit(state["directions"]).cast("long").alias("directions"),
-            )
-        if not state["fresh"]:
+    found = []
+    for depth, ways, _ in _rounds(edges, start, max_depth, target):
+        if ways:
+            found.append((depth, ways))
             break
-        frontier = reached.filter("fresh").select("id", "distance")
-        visited = visited.unionByName(frontier)
-    return found
+    return edges.sparkSession.createDataFrame(found, "distance int, directions long")

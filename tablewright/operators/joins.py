@@ -13,7 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def inner_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    partitions: int | None = None,
+) -> DataFrame:
+    """Inner equi-join, by default with the partitioning Spark picks.
+
+    ``partitions`` fixes the number of key partitions on both sides. A fixed
+    partitioning is never split, so keep to the default for uneven keys.
+    """
+    if partitions is not None:
+        keys = [on] if isinstance(on, str) else list(on)
+        left, right = left.repartition(partitions, *keys), right.repartition(partitions, *keys)
     return left.join(right, on, "inner")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.ordering import sort_columns
+from tablewright.operators.ordering import sort_columns, sort_names
 
 
 def map_values(df: DataFrame, expression: Column, name: str = "value") -> DataFrame:
@@ -47,11 +47,20 @@ def dedup(
 ) -> DataFrame:
     """One row per key: the first by ``order_by`` (default: all other columns).
 
-    ``row_number() = 1`` is cut to one row per key in every map task before
-    the shuffle, so a key with very many copies costs no more than any other.
+    Rows that agree in ``order_by`` are ordered by their other columns, so the
+    choice never depends on how the data is spread. Each map task cuts a key to one
+    row before the shuffle: a key with very many copies costs no more than any other.
     """
-    order = order_by or [name for name in df.columns if name not in keys] or list(keys)
-    window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    order = list(order_by or [])
+    rest = [name for name in df.columns if name not in [*keys, *sort_names(order)]]
+    if not any(key.startswith("-") for key in order):
+        names = [*(name for name in order if name not in keys), *rest]
+        if not names:
+            return df.select(*keys).distinct()
+        first = df.groupBy(*keys).agg(F.min(F.struct(*names)).alias("_first"))
+        picked = [name if name in keys else f"_first.{name}" for name in df.columns]
+        return first.select(*picked)
+    window = Window.partitionBy(*keys).orderBy(*sort_columns([*order, *rest]))
     return df.withColumn("_nth", F.row_number().over(window)).filter("_nth = 1").drop("_nth")
 
 

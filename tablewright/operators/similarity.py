@@ -42,7 +42,24 @@ def _side(moments: DataFrame, number: int, keys: list[str]) -> DataFrame:
     )
 
 
-def item_pairs(moments: DataFrame, items_per_task: int = ITEMS_PER_TASK) -> DataFrame:
+def _crowded_users(
+    ratings: DataFrame, moments: DataFrame, user: str, items_per_task: int
+) -> DataFrame | None:
+    """Users with more than ``items_per_task`` items, or None.
+
+    A cheap count of ratings rules users out first; items are counted only for
+    those that are left.
+    """
+    busy = hot_groups(ratings.select(F.col(user).alias("user")), ["user"], items_per_task)
+    if busy is None:
+        return None
+    theirs = split_hot(moments.select("user"), busy.select("user"), ["user"])[1]
+    return hot_groups(theirs, ["user"], items_per_task)
+
+
+def item_pairs(
+    ratings: DataFrame, user: str, item: str, value: str, items_per_task: int = ITEMS_PER_TASK
+) -> DataFrame:
     """Items rated by the same user, each unordered pair once (item1 < item2).
 
     The rows are meant to flow straight into ``cosine_similarity``, whose
@@ -50,12 +67,13 @@ def item_pairs(moments: DataFrame, items_per_task: int = ITEMS_PER_TASK) -> Data
     stored nor shuffled. A user with many items is cut into blocks of items;
     each task then pairs one block with one other.
     """
-    heavy_users = hot_groups(moments, ["user"], items_per_task)
-    if heavy_users is None:
+    moments = rating_moments(ratings, user, item, value)
+    crowded = _crowded_users(ratings, moments, user, items_per_task)
+    if crowded is None:
         left, right = _side(moments, 1, ["user"]), _side(moments, 2, ["user"])
         return left.join(right, "user").filter("item1 < item2").drop("user")
 
-    ordinary, heavy = split_hot(moments, heavy_users, ["user"])
+    ordinary, heavy = split_hot(moments, crowded, ["user"])
     plain = _side(ordinary, 1, ["user"]).join(_side(ordinary, 2, ["user"]), "user")
     blocks = F.ceil(F.col(GROUP_ROWS) / F.lit(max(items_per_task, 1))).cast("long")
     cut = heavy.withColumn("_blocks", blocks).withColumn(
@@ -69,9 +87,12 @@ def item_pairs(moments: DataFrame, items_per_task: int = ITEMS_PER_TASK) -> Data
     return plain.drop("user").unionByName(split).filter("item1 < item2")
 
 
-def pairs_with(moments: DataFrame, item: object) -> DataFrame:
+def pairs_with(
+    ratings: DataFrame, user: str, item: str, value: str, wanted: object
+) -> DataFrame:
     """The pairs one item takes part in: its raters joined with all they rated."""
-    chosen = F.col("item") == F.lit(item)
+    moments = rating_moments(ratings, user, item, value)
+    chosen = F.col("item") == F.lit(wanted)
     mine = _side(moments.filter(chosen), 1, ["user"])
     others = _side(moments.filter(~chosen), 2, ["user"])
     pairs = mine.join(others, "user").drop("user")
@@ -113,11 +134,10 @@ def item_similarity(
     items_per_task: int = ITEMS_PER_TASK,
 ) -> DataFrame:
     """Cosine similarity of all co-rated item pairs, or of those with item ``only``."""
-    moments = rating_moments(ratings, user, item, value)
     if only is None:
-        pairs = item_pairs(moments, items_per_task)
+        pairs = item_pairs(ratings, user, item, value, items_per_task)
     else:
-        pairs = pairs_with(moments, only)
+        pairs = pairs_with(ratings, user, item, value, only)
     return cosine_similarity(pairs, min_pairs)
 
 

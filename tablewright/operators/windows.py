@@ -3,7 +3,9 @@
 Each operator is an ordinary window while every group fits in a task. Groups
 above ``hot_rows`` rows are cut along the order column into blocks. A block is
 processed on its own and the little it needs from earlier blocks (a running
-sum, the last few values) comes from a table with one row per block.
+sum, the last few values) comes from a table with one row per block. Finding
+large groups is one extra pass over the group columns; ``hot_rows=None`` skips it
+where the caller knows that no group is large.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ def _names(value: str | Sequence[str]) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
-def _axis(df: DataFrame, name: str) -> Column:
-    """The order column as a number, keeping its order."""
+def _axis(df: DataFrame, name: str) -> Column | None:
+    """The order column as a number, keeping its order; None if it is no number or time."""
     kind = df.schema[name].dataType
     column = F.col(name)
     if isinstance(kind, T.DateType):
@@ -37,7 +39,7 @@ def _axis(df: DataFrame, name: str) -> Column:
         return F.unix_micros(column.cast("timestamp")).cast("double")
     if isinstance(kind, T.NumericType):
         return column.cast("double")
-    raise TypeError(f"cannot cut large groups along {name}: {kind.simpleString()}")
+    return None
 
 
 def _with_blocks(
@@ -45,11 +47,15 @@ def _with_blocks(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Split into (rows of ordinary groups, rows of hot groups with block numbers)."""
     axis = _axis(df, order[0])
+    # Without a numeric axis only the counts are checked.
+    number = F.lit(None).cast("double") if axis is None else axis
     hot = hot_groups(
-        df, part, hot_rows, [F.min(axis).alias("_low"), F.max(axis).alias("_high")]
+        df, part, hot_rows, [F.min(number).alias("_low"), F.max(number).alias("_high")]
     )
     if hot is None:
         return df, None
+    if axis is None:
+        raise TypeError(f"cannot cut groups above {hot_rows} rows along text column {order[0]}")
     ordinary, heavy = split_hot(df, hot, part)
     pieces = (F.ceil(F.col(GROUP_ROWS) / F.lit(max(hot_rows, 1))) * OVERSPLIT).cast("long")
     bucket = F.width_bucket(axis, F.col("_low"), F.col("_high"), pieces)
@@ -63,10 +69,12 @@ def _run(
     df: DataFrame,
     part: list[str],
     order: list[str],
-    hot_rows: int,
+    hot_rows: int | None,
     plain: Callable[[DataFrame], DataFrame],
     blocked: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
+    if hot_rows is None:
+        return plain(df)
     ordinary, heavy = _with_blocks(df, part, order, hot_rows)
     result = plain(ordinary)
     if heavy is None:
@@ -128,7 +136,7 @@ def running_total(
     value: str,
     name: str = "running_total",
     frame: str = "range",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Cumulative sum. With the default RANGE frame, tied rows share their total."""
     part, order = _names(part), _names(order)
@@ -161,7 +169,7 @@ def previous_value(
     name: str = "previous",
     offset: int = 1,
     default: object = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Value ``offset`` rows earlier; ``default`` where there is no such row."""
     part, order = _names(part), _names(order)
@@ -192,7 +200,7 @@ def delta(
     order: str | Sequence[str],
     value: str,
     name: str = "difference",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Difference from the previous row; the first row differs from 0."""
     lagged = previous_value(df, part, order, value, "_previous", 1, 0, hot_rows)
@@ -207,7 +215,7 @@ def moving_avg(
     rows: int = 7,
     name: str = "moving_avg",
     digits: int = 2,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Mean of the current and the ``rows - 1`` preceding rows, rounded."""
     part, order = _names(part), _names(order)
@@ -253,7 +261,7 @@ def sessionize(
     ts: str,
     gap_s: int = 1800,
     name: str = "session_num",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Number each user's sessions; a gap above ``gap_s`` whole seconds starts one."""
     part, order = _names(user), [ts]

@@ -21,7 +21,8 @@ def word_count(df: DataFrame, column: str, tokenizer: str = "ascii") -> DataFram
     characters, lower case), ``regex`` (Unicode word pattern, lower case).
     """
     tokens = df.select(F.explode(words(column, tokenizer)).alias("word")).filter("word <> ''")
-    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    word = F.lower("word") if tokenizer == "ascii" else F.col("word")
+    counts = tokens.groupBy(word.alias("word")).agg(F.count(F.lit(1)).alias("count"))
     return counts.orderBy(*sort_columns(["-count", "word"]))
 
 

@@ -40,10 +40,16 @@ def write_text_lines(
 
 
 def write_csv(
-    df: DataFrame, path: str, header: bool = True, sep: str = ",", files: int | None = None
+    df: DataFrame,
+    path: str,
+    header: bool = True,
+    sep: str = ",",
+    files: int | None = None,
+    encoding: str = "UTF-8",
 ) -> None:
     """Overwrite a CSV folder."""
-    _layout(df, files).write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+    writer = _layout(df, files).write.mode("overwrite").option("header", header)
+    writer.option("sep", sep).option("encoding", encoding).csv(path)
 
 
 def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
