@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import sort_columns
-from tablewright.operators.skew import GROUP_ROWS, HOT_ROWS, hot_groups, split_hot
+from tablewright.operators.skew import GROUP_ROWS, hot_groups, split_hot
+
+# Values of one key held in a single array.
+ARRAY_ROWS = 1_000_000
 
 
 def _names(value: str | Sequence[str]) -> list[str]:
@@ -85,7 +88,7 @@ def collect_values(
     key: str,
     value: str,
     name: str = "values",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = ARRAY_ROWS,
 ) -> DataFrame:
     """Sorted values per key as arrays, in ``(key, chunk, values)`` rows.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import min_ties, top_k
-from tablewright.runtime import BROADCAST_ROWS, cut_lineage
+from tablewright.runtime import cut_and_measure, cut_lineage
 
 # Distance given to vertices that were not reached.
 UNREACHED = 9999
@@ -67,36 +67,30 @@ def _rounds(
 
     Each round joins the frontier with the edges and adds the hits up per vertex
     before they move; a vertex in reach of very many edges costs one row per task.
-    A frontier of few rows goes to the edges, a larger one is shuffled. The round
-    is written down, and one row about it reaches the driver.
+    The round is written down, and one row about it reaches the driver. By the size
+    of those files Spark sends a small frontier to the edges and shuffles a large one.
     """
     kind = edges.schema["src"].dataType
-    seen = edges.sparkSession.range(1).select(
+    frontier = seen = edges.sparkSession.range(1).select(
         F.lit(start).cast(kind).alias("id"), F.lit(0).alias("distance")
     )
-    frontier, size, total = seen, 1, 1
     for depth in range(1, max_depth + 1):
         ahead = frontier.select(F.col("id").alias("src"))
-        ahead = F.broadcast(ahead) if size <= BROADCAST_ROWS else ahead
-        known = seen.select("id", F.lit(True).alias("_known"))
-        known = F.broadcast(known) if total <= BROADCAST_ROWS else known
         hits = edges.join(ahead, "src").groupBy(F.col("dst").alias("id")).agg(
             F.count(F.lit(1)).alias("ways")
         )
-        reached = cut_lineage(
-            hits.join(known, "id", "left").select("id", "ways", F.col("_known").isNull().alias("fresh"))
+        known = seen.select("id", F.lit(True).alias("_known"))
+        fresh = F.col("_known").isNull().alias("fresh")
+        reached, state = cut_and_measure(
+            hits.join(known, "id", "left").select("id", "ways", fresh),
+            found=F.count(F.when(F.col("fresh"), 1)),
+            ways=F.sum(F.when(F.col("id") == F.lit(target), F.col("ways"))),
         )
-        state = reached.agg(
-            F.count(F.when(F.col("fresh"), 1)).alias("fresh"),
-            F.sum(F.when(F.col("id") == F.lit(target), F.col("ways"))).alias("ways"),
-        ).first()
         frontier = reached.filter("fresh").select("id", F.lit(depth).alias("distance"))
-        size = state["fresh"]
-        total += size
-        if size:
+        if state["found"]:
             seen = seen.unionByName(frontier)
         yield depth, state["ways"] or 0, seen
-        if not size:
+        if not state["found"]:
             return
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.runtime import broadcast_if_small, cut_lineage
+from tablewright.runtime import cut_and_measure
 
 # A group with more rows than this is split over several tasks.
 HOT_ROWS = 5_000_000
@@ -23,19 +23,19 @@ def hot_groups(
 
     Counts are combined before the shuffle, so finding a hot group never moves
     its rows. The answer has at most rows/limit entries and is written down
-    once: every later step then sees the same groups and the same group ids.
+    once: every later step then sees the same groups and the same group ids, and
+    Spark broadcasts it by its file size.
     """
     large = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(GROUP_ROWS), *stats)
         .filter(F.col(GROUP_ROWS) > limit)
     )
-    if large.isEmpty():
-        return None
-    return cut_lineage(large.withColumn(GROUP_ID, F.monotonically_increasing_id()))
+    hot, state = cut_and_measure(large.withColumn(GROUP_ID, F.monotonically_increasing_id()))
+    return hot if state["rows"] else None
 
 
-def _same_key(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> Column:
+def _same_key(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
         condition = condition & F.col(f"l.{key}").eqNullSafe(F.col(f"h.{key}"))
@@ -49,9 +49,8 @@ def split_hot(
 
     Null keys form a group like any other, hence the null-safe comparison.
     """
-    small = broadcast_if_small(hot)
-    condition = _same_key(df, hot, keys)
-    ordinary = df.alias("l").join(small.alias("h"), condition, "left_anti")
+    condition = _same_key(keys)
+    ordinary = df.alias("l").join(hot.alias("h"), condition, "left_anti")
     extra = [F.col(f"h.{name}") for name in hot.columns if name not in keys]
-    heavy = df.alias("l").join(small.alias("h"), condition, "inner").select("l.*", *extra)
+    heavy = df.alias("l").join(hot.alias("h"), condition, "inner").select("l.*", *extra)
     return ordinary, heavy

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.ordering import sort_columns, sort_names
 from tablewright.operators.skew import GROUP_ID, GROUP_ROWS, HOT_ROWS, hot_groups, split_hot
+from tablewright.runtime import cut_lineage
 
 BLOCK = "_block"
 BLOCK_KEYS = [GROUP_ID, BLOCK]
@@ -325,9 +326,10 @@ def top_n_per_group(
     if ties == "row":
         return numbered
     # The rank of a value is the row number of its first row, and every rank
-    # up to n shows within the first n rows. Joining back spreads tied rows.
+    # up to n shows within the first n rows. Joining back spreads tied rows; the
+    # table of ranks is written down so that its size decides how to join.
     keys = [*part, *(key for key in sort_names(order) if key not in part)]
-    ranks = numbered.groupBy(*keys).agg(F.min(name).alias(name))
+    ranks = cut_lineage(numbered.groupBy(*keys).agg(F.min(name).alias(name)))
     match = F.lit(True)
     for key in keys:
         match = match & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))

@@ -1,17 +1,18 @@
-"""Session-level helpers: shared scratch space, lineage cuts, checked broadcasts."""
+"""Session-level helpers: shared scratch space and lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# Rows of a narrow key table that are still fine to ship to every executor.
-BROADCAST_ROWS = 500_000
+
+# Temporary folders of local sessions, by application id; removed when Python ends.
+_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,13 +24,15 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tablewright-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.TemporaryDirectory(
+            prefix="tablewright-", ignore_cleanup_errors=True
+        )
+    return _LOCAL_FOLDERS[context.applicationId].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -38,15 +41,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives lost executors and has no history."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a result to the shared folder once and go on from the files.
 
+    The files outlive any executor and carry no history. Spark also knows their
+    size, so a join with the result is broadcast exactly when it is small enough.
+    """
+    return cut_and_measure(df)[0]
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a *materialised* narrow frame when its row count allows it.
 
-    Above the bound the frame comes back unhinted, so the join shuffles and
-    adaptive execution deals with uneven keys.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict[str, object]]:
+    """``cut_lineage`` plus aggregates of the written rows, taken by the same job."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "step")
+    observation = Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    named = [column.alias(name) for name, column in measures.items()]
+    df.observe(observation, rows, *named).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), observation.get

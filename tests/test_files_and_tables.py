@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,28 @@ def test_views(spark, namespace):
     C.create_view(spark, f"{namespace}.v", f"SELECT id FROM {namespace}.t WHERE id > 4")
     assert spark.table(f"{namespace}.v").count() == 1
     assert C.sql_over(spark.range(6), "numbers", "SELECT sum(id) AS s FROM numbers").first()["s"] == 15
+
+
+def test_catalog_plug_ins_replace_in_one_step():
+    """No such catalog is installed here, so the calls are recorded."""
+    calls = []
+
+    class Writer:
+        def using(self, provider):
+            calls.append(provider)
+            return self
+
+        def createOrReplace(self):
+            calls.append("createOrReplace")
+
+    class Frame:
+        sparkSession = SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: {"spark.sql.catalog.lake": "x"}.get(key))
+        )
+
+        def writeTo(self, name):
+            calls.append(name)
+            return Writer()
+
+    C.publish_table(Frame(), "lake.shop.orders", "iceberg")
+    assert calls == ["lake.shop.orders", "iceberg", "createOrReplace"]

@@ -136,9 +136,15 @@ def brute_search(edges, start, depth):
     return distance
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000, 0])
-def test_distances_equal_brute_force(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(G, "BROADCAST_ROWS", broadcast_rows)
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, request.param)
+    yield
+    spark.conf.unset(key)
+
+
+def test_distances_equal_brute_force(spark, broadcast_limit):
     rng = random.Random(3)
     # Vertex 0 has a third of all edges; some edges repeat.
     edges = [(0, rng.randrange(60)) for _ in range(60)]

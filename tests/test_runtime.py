@@ -4,6 +4,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright import runtime
 from tablewright.operators import skew
@@ -17,25 +18,20 @@ def test_local_session_gets_a_folder_of_its_own(spark):
 
 
 def _session(master, configured=None):
-    calls = []
-    context = SimpleNamespace(
-        master=master, getCheckpointDir=lambda: None, setCheckpointDir=calls.append
-    )
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
     conf = SimpleNamespace(get=lambda key, default: configured)
-    return SimpleNamespace(sparkContext=context, conf=conf), calls
+    return SimpleNamespace(sparkContext=context, conf=conf)
 
 
 def test_cluster_folder_comes_from_the_session():
-    session, calls = _session("yarn", "hdfs:///shared/checkpoints")
+    session = _session("yarn", "hdfs:///shared/checkpoints")
     assert runtime.shared_dir(session) == "hdfs:///shared/checkpoints"
-    assert calls == ["hdfs:///shared/checkpoints"]
+    assert runtime.scratch_path(session, "x").startswith("hdfs:///shared/checkpoints/x-")
 
 
 def test_cluster_without_a_folder_is_refused():
-    session, calls = _session("yarn")
     with pytest.raises(ValueError):
-        runtime.shared_dir(session)
-    assert calls == []
+        runtime.shared_dir(_session("yarn"))
 
 
 def test_cut_lineage_forgets_the_plan(spark):
@@ -44,12 +40,17 @@ def test_cut_lineage_forgets_the_plan(spark):
     assert df.count() == 2
 
 
-def test_broadcast_depends_on_the_row_count(spark):
+def test_measures_come_with_the_write(spark):
+    df = spark.range(10).toDF("id")
+    written, state = runtime.cut_and_measure(df, total=F.sum("id"), none=F.sum(F.when(F.col("id") > 99, 1)))
+    assert (state["rows"], state["total"], state["none"]) == (10, 45, None)
+    assert written.count() == 10
+
+
+def test_file_size_decides_the_broadcast(spark):
     small = runtime.cut_lineage(spark.range(10).toDF("id"))
-    wide = spark.range(100).toDF("id")
-    assert "BroadcastHashJoin" in plan_text(wide.join(runtime.broadcast_if_small(small), "id"))
-    unhinted = runtime.broadcast_if_small(small, max_rows=5)
-    assert "ResolvedHint" not in unhinted._jdf.queryExecution().logical().toString()
+    joined = spark.range(100).toDF("id").join(small, "id")
+    assert "BroadcastHashJoin" in plan_text(joined)
 
 
 def test_hot_groups(spark, rows):
