@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import top_k
 from tablewright.operators.skew import GROUP_ID, GROUP_ROWS, hot_groups, split_hot
+from tablewright.runtime import cut_lineage
 
 # Users with more items than this are worked on by several tasks.
 ITEMS_PER_TASK = 5_000
@@ -42,21 +43,6 @@ def _side(moments: DataFrame, number: int, keys: list[str]) -> DataFrame:
     )
 
 
-def _crowded_users(
-    ratings: DataFrame, moments: DataFrame, user: str, items_per_task: int
-) -> DataFrame | None:
-    """Users with more than ``items_per_task`` items, or None.
-
-    A cheap count of ratings rules users out first; items are counted only for
-    those that are left.
-    """
-    busy = hot_groups(ratings.select(F.col(user).alias("user")), ["user"], items_per_task)
-    if busy is None:
-        return None
-    theirs = split_hot(moments.select("user"), busy.select("user"), ["user"])[1]
-    return hot_groups(theirs, ["user"], items_per_task)
-
-
 def item_pairs(
     ratings: DataFrame, user: str, item: str, value: str, items_per_task: int = ITEMS_PER_TASK
 ) -> DataFrame:
@@ -65,10 +51,11 @@ def item_pairs(
     The rows are meant to flow straight into ``cosine_similarity``, whose
     map-side step adds them up in the task that makes them, so they are neither
     stored nor shuffled. A user with many items is cut into blocks of items;
-    each task then pairs one block with one other.
+    each task then pairs one block with one other. The combined ratings are written
+    down first, as both sides of the join and the search for such users read them.
     """
-    moments = rating_moments(ratings, user, item, value)
-    crowded = _crowded_users(ratings, moments, user, items_per_task)
+    moments = cut_lineage(rating_moments(ratings, user, item, value))
+    crowded = hot_groups(moments, ["user"], items_per_task)
     if crowded is None:
         left, right = _side(moments, 1, ["user"]), _side(moments, 2, ["user"])
         return left.join(right, "user").filter("item1 < item2").drop("user")
