@@ -50,8 +50,9 @@ def _with_blocks(
     axis = _axis(df, order[0])
     # Without a numeric axis only the counts are checked.
     number = F.lit(None).cast("double") if axis is None else axis
+    finite = F.when(F.abs(number) < float("inf"), number)
     hot = hot_groups(
-        df, part, hot_rows, [F.min(number).alias("_low"), F.max(number).alias("_high")]
+        df, part, hot_rows, [F.min(finite).alias("_low"), F.max(finite).alias("_high")]
     )
     if hot is None:
         return df, None
@@ -59,8 +60,13 @@ def _with_blocks(
         raise TypeError(f"cannot cut groups above {hot_rows} rows along text column {order[0]}")
     ordinary, heavy = split_hot(df, hot, part)
     pieces = (F.ceil(F.col(GROUP_ROWS) / F.lit(max(hot_rows, 1))) * OVERSPLIT).cast("long")
-    bucket = F.width_bucket(axis, F.col("_low"), F.col("_high"), pieces)
-    block = F.when(axis.isNull(), F.lit(-1)).otherwise(F.coalesce(bucket, F.lit(0)))
+    bucket = F.width_bucket(finite, F.col("_low"), F.col("_high"), pieces)
+    # Blocks keep Spark's order: nulls and -inf first, inf and NaN last.
+    block = (
+        F.when(axis.isNull() | (axis == float("-inf")), F.lit(-1))
+        .when(finite.isNull(), pieces + 2)
+        .otherwise(F.coalesce(bucket, F.lit(0)))
+    )
     return ordinary, heavy.withColumn(BLOCK, block.cast("long")).drop(
         GROUP_ROWS, "_low", "_high"
     )

@@ -57,6 +57,7 @@ def test_similarity_equals_brute_force(spark, items_per_task):
     df = spark.createDataFrame(data, RATINGS).repartition(4)
     got = M.item_similarity(df, "u", "i", "r", items_per_task=items_per_task)
     assert found(got) == brute_similarity(data)
+    assert all(-1 - 1e-9 <= score <= 1 + 1e-9 for score, _ in found(got).values())
 
 
 def test_scores_stay_within_one_and_zero_vectors_score_zero(spark):
@@ -169,3 +170,10 @@ def test_search_counts_ways_and_respects_rounds_and_direction(spark, rows):
     assert rows(G.bfs(df, 1, 4, max_depth=1)) == []
     assert rows(G.bfs(df, 1, 77)) == []
     assert rows(G.bfs(df, 42, 1)) == []
+
+
+def test_no_edges_and_no_ratings(spark, rows):
+    edges = spark.createDataFrame([], "src long, dst long")
+    assert rows(G.bfs_distances(edges, 1)) == [(1, 0)]
+    assert G.bfs(edges, 1, 2).count() == 0
+    assert M.item_similarity(spark.createDataFrame([], RATINGS), "u", "i", "r").count() == 0

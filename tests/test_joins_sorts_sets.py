@@ -96,3 +96,35 @@ def test_keep_caches_until_released(spark):
     kept = L.keep(spark.range(5).toDF("id"))
     assert kept.is_cached
     assert not kept.unpersist().is_cached
+
+
+def test_uneven_join_keys_are_split_at_run_time(spark):
+    """A third of the rows share one key; the join still runs in even pieces."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+        facts = spark.range(300_000, numPartitions=8).select(key.alias("key"), F.xxhash64("id").alias("v"))
+        dim = spark.range(5000).select(F.col("id").alias("key"), F.lit("n").alias("name"))
+        joined = J.lookup(facts, dim, "key", "name", "?")
+        joined.write.format("noop").mode("overwrite").save()
+        assert joined.count() == 300_000
+        joined.collect()
+        assert "skew=true" in plan_text(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_search_and_grouping_of_nothing(spark):
+    empty = spark.createDataFrame([], "id int, amount int")
+    assert O.top_k(empty, ["id"], 3).count() == 0
+    assert J.no_match(empty, empty, "id").count() == 0
+    assert L.intersect(empty, empty).count() == 0

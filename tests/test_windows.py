@@ -120,6 +120,15 @@ def test_bursts_in_one_block_stay_right(spark, rows):
     assert rows(OPERATORS["running_total"](df, 2)) == rows(OPERATORS["running_total"](df, None))
 
 
+def test_hot_groups_along_numbers_with_every_special_value(spark, rows):
+    special = [None, float("-inf"), float("inf"), float("nan")]
+    data = [("hot", special[n % 4] if n % 5 == 0 else float(n * n % 37), n) for n in range(80)]
+    df = spark.createDataFrame(data, "user string, at double, amount int")
+    plain = W.running_total(df, "user", "at", "amount", hot_rows=None)
+    split = W.running_total(df, "user", "at", "amount", hot_rows=4)
+    assert rows(split, "amount", "running_total") == rows(plain, "amount", "running_total")
+
+
 def test_large_groups_along_text_are_refused(spark):
     df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "user string, ts string, amount int")
     assert W.running_total(df, "user", "ts", "amount").count() == 2
@@ -176,3 +185,22 @@ def test_sessions_per_user_equal_breaks_plus_one(spark, rows):
         (F.count(F.when(F.col("s") - F.col("previous") > 3600, 1)) + 1).alias("n")
     )
     assert rows(numbered.groupBy("user").agg(F.max("session_num"))) == rows(breaks)
+
+
+@pytest.mark.parametrize("hot", [None, 0, 5])
+def test_empty_and_single_rows(spark, rows, hot):
+    empty = spark.createDataFrame([], DDL)
+    single = spark.createDataFrame([("a", at(0), 4)], DDL)
+    for operator in OPERATORS.values():
+        assert operator(empty, hot).count() == 0
+        assert operator(single, hot).count() == 1
+    assert rows(OPERATORS["moving_avg"](single, hot), "moving_avg") == [(4.0,)]
+    assert rows(OPERATORS["sessionize"](single, hot), "session_num") == [(1,)]
+
+
+def test_a_hot_group_moves_once_and_in_blocks(spark):
+    df = spark.createDataFrame(skewed(1), DDL)
+    text = plan_text(W.running_total(df, "user", "ts", "amount", hot_rows=50))
+    assert "Exchange hashpartitioning(_group" in text
+    # One shuffle for ordinary groups, one for hot rows, and the block table's own.
+    assert text.count("Exchange hashpartitioning") <= 5
