@@ -111,7 +111,7 @@ def bfs_all_vertices(spark, folder):
 
 
 def bfs_target(spark, folder):
-    """Rounds from part 1 to the largest order of part 1's neighbourhood, and its ways in."""
+    """The way back to part 1 over its orders, and how many edges lead there."""
     return G.bfs(_edges(spark, folder), 1, 1, 10).withColumns(as_long("distance"))
 
 
@@ -189,5 +189,6 @@ ORACLE = {
             WHERE src NOT IN (SELECT id FROM reached)) AS rest""",
     "bfs_target": f"""WITH {_EDGES}
         SELECT CAST(2 AS BIGINT) AS distance, count(*) AS directions FROM edges AS e
-        WHERE e.dst = 1 AND e.src IN (SELECT dst FROM edges WHERE src = 1)""",
+        WHERE e.dst = 1 AND e.src IN (SELECT dst FROM edges WHERE src = 1)
+        HAVING count(*) > 0""",
 }

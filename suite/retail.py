@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from suite.tables import as_double, as_long, dirty, dirty_sql, money, table
+from suite.tables import as_double, dirty, dirty_sql, money, table
 from tablewright.plans import retail
 from tablewright.runtime import scratch_path
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from suite.tables import as_double, as_long, money, table
+from suite.tables import as_long, money, table
 from tablewright.plans.reports import revenue_lines as lines_of_revenue
 from tablewright.plans.reports import segment_report
 from tablewright.runtime import scratch_path

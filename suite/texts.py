@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from suite.tables import as_long, table
 from tablewright.functions import registered
 from tablewright.functions import text as T

@@ -29,23 +29,34 @@ def _plain(value: object) -> object:
     return value
 
 
-def _bag(columns: list[str], rows: list) -> tuple[list[str], Counter]:
-    """Rows as a bag; a value keeps its type, so 1 and 1.0 differ."""
+def _bag(columns: list[str], rows: list) -> Counter:
+    """Rows as a bag, with columns in the order of their names."""
     order = sorted(range(len(columns)), key=lambda position: columns[position])
-    typed = (
-        tuple((type(_plain(row[p])).__name__, _plain(row[p])) for p in order) for row in rows
-    )
-    return [columns[p] for p in order], Counter(typed)
+    return Counter(tuple(_plain(row[p]) for p in order) for row in rows)
+
+
+# Spark type names and their DuckDB counterparts.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
 
 
 def difference(query, sql: str, spark, connection, folder: str) -> str:
     """Empty text when both sides agree in names, types and rows."""
     frame = query(spark, folder)
-    names, left = _bag(frame.columns, frame.collect())
+    types = {name: TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    other_types = {row[0]: str(row[1]) for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != other_types:
+        return f"types {types} against {other_types}"
+    left = _bag(frame.columns, frame.collect())
     cursor = connection.execute(sql)
-    other_names, right = _bag([entry[0] for entry in cursor.description], cursor.fetchall())
-    if names != other_names:
-        return f"columns {names} against {other_names}"
+    right = _bag([entry[0] for entry in cursor.description], cursor.fetchall())
     if left != right:
         only_left, only_right = left - right, right - left
         return (
