@@ -12,20 +12,50 @@ from tablewright.runtime import cut_and_measure
 # A group with more rows than this is split over several tasks.
 HOT_ROWS = 5_000_000
 
+# Rows of a group at the limit that a share of the data should contain.
+SAMPLE_ROWS = 10_000
+
 GROUP_ID = "_group"
 GROUP_ROWS = "_group_rows"
 
 
+def _same_key(keys: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(f"l.{key}").eqNullSafe(F.col(f"h.{key}"))
+    return condition
+
+
+def _likely_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """Groups that a small share of the rows suggests are above ``limit``, or None.
+
+    A group at the limit expects ``SAMPLE_ROWS`` rows in the share and half of that
+    is asked for, so a large group is missed with no realistic chance. If it ever
+    were, it would be handled as an ordinary group: slower, with the same result.
+    """
+    share = df.select(*keys).sample(SAMPLE_ROWS / limit, seed=1)
+    counted = share.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    likely, state = cut_and_measure(counted.filter(F.col("_rows") > SAMPLE_ROWS / 2).select(*keys))
+    return likely if state["rows"] else None
+
+
 def hot_groups(
     df: DataFrame, keys: Sequence[str], limit: int, stats: Sequence[Column] = ()
 ) -> DataFrame | None:
     """Groups with more than ``limit`` rows, or None when there are none.
 
-    Counts are combined before the shuffle, so finding a hot group never moves
-    its rows. The answer has at most rows/limit entries and is written down
-    once: every later step then sees the same groups and the same group ids, and
-    Spark broadcasts it by its file size.
+    For a high limit a small share of the key columns rules most groups out first,
+    so the usual answer (none) costs one scan of these columns and hardly any
+    shuffle. The remaining groups are counted exactly, combined before the shuffle.
+    The answer has at most rows/limit entries and is written down once: every later
+    step then sees the same groups and the same group ids, and Spark broadcasts it
+    by its file size.
     """
+    if limit > SAMPLE_ROWS:
+        likely = _likely_groups(df, keys, limit)
+        if likely is None:
+            return None
+        df = df.alias("l").join(likely.alias("h"), _same_key(keys), "left_semi")
     large = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(GROUP_ROWS), *stats)
@@ -35,13 +65,6 @@ def hot_groups(
     return hot if state["rows"] else None
 
 
-def _same_key(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(f"l.{key}").eqNullSafe(F.col(f"h.{key}"))
-    return condition
-
-
 def split_hot(
     df: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:

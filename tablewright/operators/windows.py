@@ -4,7 +4,7 @@ Each operator is an ordinary window while every group fits in a task. Groups
 above ``hot_rows`` rows are cut along the order column into blocks. A block is
 processed on its own and the little it needs from earlier blocks (a running
 sum, the last few values) comes from a table with one row per block. Finding
-large groups is one extra pass over the group columns; ``hot_rows=None`` skips it
+large groups is one extra scan of the group columns; ``hot_rows=None`` skips it
 where the caller knows that no group is large.
 """
 

@@ -64,6 +64,19 @@ def test_hot_groups(spark, rows):
     assert heavy.select(skew.GROUP_ID).distinct().count() == 2
 
 
+def test_a_share_of_the_rows_rules_groups_out(spark, rows, monkeypatch):
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", 50)
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot").otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))
+    )
+    df = spark.range(6000, numPartitions=4).select(key.alias("k"))
+    hot = skew.hot_groups(df, ["k"], 500)
+    assert rows(hot, "k", skew.GROUP_ROWS) == [(None, 2000), ("hot", 2000)]
+    # Likely groups are still counted: 2,000 rows pass the share but not this limit.
+    assert skew.hot_groups(df, ["k"], 2000) is None
+    assert skew.hot_groups(df, ["k"], 5000) is None
+
+
 def test_no_local_checkpoints_or_driver_loops_in_the_library():
     root = Path(runtime.__file__).parent
     text = "".join(file.read_text() for file in root.rglob("*.py"))
