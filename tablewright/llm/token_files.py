@@ -9,12 +9,14 @@ occurrence is, without the ids being unpacked.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,10 +26,18 @@ from tablewright.runtime import scratch_path
 
 BLOCK = 512  # bits per entry of the rank directory
 
-# How the byte-level tokenizer cuts a text before its merges.
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Characters on whose class every version of Unicode agrees.
-PLAIN = r"[\n\r\t\x20-\x7E¡-¬®-ɏ]*+"
+# Characters whose class is the same in every version of Unicode, white space left out.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+PLAIN = f"!-~¡-©«-±´¶-¸»¿×÷{LETTERS}"
+# Fixed value: how the byte-level tokenizer cuts a text of such characters before its merges.
+PIECE = rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
+# How the tokenizer spells bytes: printable ones as themselves, the rest from U+0100 on.
+BYTES = {
+    byte: chr(0x100 + number)
+    for number, byte in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))
+}
+# White space that is more than a single space or line end between words.
+GAPS = ("  ", " \n", "\n ", "\n\n")
 
 
 class WaveletMatrix:
@@ -42,17 +52,22 @@ class WaveletMatrix:
     def build(ids: np.ndarray, bits: int) -> tuple[list[int], bytes, bytes]:
         """Zeros per plane, the planes, and the ones before each block of each plane."""
         zeros, planes, ranks = [], [], []
+        parted = pa.array(ids)
+
+        def _mask(plane: np.ndarray) -> pa.Array:
+            return pa.Array.from_buffers(pa.bool_(), len(ids), [None, pa.py_buffer(plane)])
+
         for shift in range(bits - 1, -1, -1):
-            ones = (ids >> shift & 1).astype(bool)
+            ones = (parted.to_numpy() >> shift & 1).astype(bool)
             padded = np.zeros(-(-max(1, len(ids)) // BLOCK) * BLOCK, dtype=bool)
             padded[: len(ids)] = ones
             plane = np.packbits(padded, bitorder="little")
             counts = np.bitwise_count(plane.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1)
             ranks.append((np.cumsum(counts) - counts).astype("<u4").tobytes())
             planes.append(plane.tobytes())
-            low = ids[~ones]
+            low, high = (parted.filter(_mask(bits_)) for bits_ in (~plane, plane))
             zeros.append(len(low))
-            ids = np.concatenate((low, ids[ones]))
+            parted = pa.concat_arrays([low, high])
         return zeros, b"".join(planes), b"".join(ranks)
 
     def _ones(self, plane: int, end: int) -> int:
@@ -126,39 +141,104 @@ class WaveletMatrix:
 
 
 class Encoder:
-    """Ids of a text as 32-bit little-endian bytes.
+    """Ids of a text as little-endian bytes of one width.
 
-    A text is cut into the tokenizer's own pieces, and each piece is encoded by the
-    tokenizer once and remembered. Texts with characters outside ``PLAIN``, or with the
-    text of a special token, go to the tokenizer whole.
+    The tokenizer cuts a text into pieces, never inside a word, and merges within a piece
+    only. So a line is cut at its single spaces, and the ids of a word after a space, or
+    at the start of a line, are looked up; the tokenizer encodes each piece once. Texts
+    with other white space are cut by the tokenizer's own rule. Texts with characters
+    outside ``PLAIN``, or with the text of a special token, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, kind: str = "<u2", remembered: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remembered = remembered
-        self.pieces = regex.compile(PIECE)
-        self.plain = regex.compile(PLAIN)
+        self.code, self.remembered = {2: "H", 4: "I"}[np.dtype(kind).itemsize], remembered
+        self.merges = self.tokenizer.model
+        special = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or "(?!)")
+        self.pieces = re.compile(PIECE)
+        self.plain_word, self.plain = re.compile(f"[{PLAIN}]+"), re.compile(rf"[\s{PLAIN}]*", re.ASCII)
+        self.newline = self._bytes(self._ids("\n"))
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces, and the ids of words after a space and at the start of a line."""
         self.known: dict[str, bytes] = {}
+        self.inner: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes | None] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        ids = array(self.code, ids)  # raises where an id does not fit
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        for piece in pieces:
+            spelled = piece.encode().decode("latin-1").translate(BYTES)
+            self.known[piece] = self._bytes([token.id for token in self.merges.tokenize(spelled)])
+
+    def _words(self, words: set[str], table: dict[str, bytes | None], before: str) -> None:
+        cut: dict[str, list[str]] = {}
+        for word in words.difference(table):
+            if self.plain_word.fullmatch(word) and not self.special.search(word):
+                cut[word] = self.pieces.findall(before + word)
+            else:
+                table[word] = None
+        self._learn({piece for pieces in cut.values() for piece in pieces}.difference(self.known))
+        for word, pieces in cut.items():
+            table[word] = b"".join([self.known[piece] for piece in pieces])
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """By the tokenizer's own rule, piece by piece where that is safe."""
+        if not self.plain.fullmatch(text) or self.special.search(text):
+            return self._bytes(self._ids(text))
+        pieces = self.pieces.findall(text)
+        self._learn(set(pieces).difference(self.known))
+        return b"".join([self.known[piece] for piece in pieces])
 
     def encode(self, text: str) -> bytes:
-        if not self.plain.fullmatch(text) or any(token in text for token in self.special):
+        if len(self.known) > self.remembered:
+            self.forget()
+        if not text or text[0].isspace() or text[-1].isspace() or any(gap in text for gap in GAPS):
             return self.whole(text)
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        pieces = self.pieces.findall(text)
+        lines = [line.split(" ") for line in text.split("\n")]
+        starts = [line[0] for line in lines]
+        for words in lines:
+            words[0] = ""  # its place; the line's first word is looked up on its own
+        rest = [word for words in lines for word in words]
+        found: list[bytes | None]
         try:
-            return b"".join(map(known.__getitem__, pieces))
+            found = list(map(self.inner.__getitem__, rest))
         except KeyError:
-            for piece in set(pieces).difference(known):
-                known[piece] = self.whole(piece)
-        return b"".join(map(known.__getitem__, pieces))
+            self.inner[""] = b""
+            self._words(set(rest), self.inner, " ")
+            found = list(map(self.inner.__getitem__, rest))
+        self._words(set(starts), self.first, "")
+        at = 0
+        for number, words in enumerate(lines):
+            start = self.first[starts[number]]
+            found[at] = start if start is None or not number else self.newline + start
+            at += len(words)
+        try:
+            return b"".join(found)
+        except TypeError:  # some word must not be encoded on its own
+            return self.whole(text)
+
+
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def _encoder(path: str, kind: str) -> Encoder:
+    """One per Python worker: what it remembers serves all its tasks."""
+    if (path, kind) not in _ENCODERS:
+        _ENCODERS[path, kind] = Encoder(path, kind)
+    return _ENCODERS[path, kind]
 
 
 def write_tokens(
@@ -192,18 +272,18 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, cut = TaskContext.get().partitionId(), 0
-        encoder, last = Encoder(tokenizer), np.array([end], dtype="<u4").tobytes()
+        kind = "<u2" if bits <= 16 else "<u4"
+        width = np.dtype(kind).itemsize
+        encoder, last = _encoder(tokenizer, kind), np.array([end], dtype=kind).tobytes()
         keys: list[pa.Array] = []
         pieces: list[bytes] = []
         lengths: list[int] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(pieces), dtype="<u4")
-            if bits <= 16:
-                if ids.max(initial=0) >> bits:
-                    raise ValueError(f"an id needs more than {bits} bits")
-                ids = ids.astype(np.uint16)
+            ids = np.frombuffer(b"".join(pieces), dtype=kind)
+            if int(ids.max(initial=0)) >> bits:
+                raise ValueError(f"an id needs more than {bits} bits")
             zeros, planes, ranks = WaveletMatrix.build(ids, bits)
             chunk = pa.concat_arrays(keys)
             return pa.RecordBatch.from_arrays(
@@ -226,7 +306,7 @@ def write_tokens(
             for row in range(batch.num_rows):
                 ids = encoder.encode(texts[row].as_py() or "") + last
                 pieces.append(ids)
-                lengths.append(len(ids) // 4)
+                lengths.append(len(ids) // width)
                 held += lengths[-1]
                 if held >= shard_tokens:
                     keys.append(batch.column("key").slice(begun, row + 1 - begun))
