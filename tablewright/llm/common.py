@@ -16,7 +16,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text as an array; empty for a null or wordless text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda word: word != "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\v\f\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
 def word_count(text: Column) -> Column:

@@ -8,11 +8,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, sharding, token_files
-from tablewright.llm.common import table, utf8_crc32, word_count
+from tablewright.llm import (
+    language, mixing, quality_model, quality_rules, sharding, token_files, toxicity, wrappers,
+)
+from tablewright.llm.common import held_out, table, training_rows, utf8_crc32, word_count
 from tablewright.runtime import cut_lineage
 
 
+def op2_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages")
+    found = wrappers.infer_wrappers(pages)
+    return wrappers.extract_pages(pages, found).select("page_id", "url", "text", "n_chars")
+
+
+def op3_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, table(spark, folder, "labels"))
+    return docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        quality_model.score(model, F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, folder, "documents")
+    model = language.train(docs)
+    found = docs.select("doc_id", language.identify(docs, model).alias("found"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.*")
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    characters = toxicity.count_characters(docs)
+    marks = toxicity.train(docs, table(spark, folder, "labels"), characters)
+    return docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.score(docs, characters, marks).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, folder, "documents")
@@ -25,6 +65,14 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    good = training_rows(docs, table(spark, folder, "labels"), "quality").filter("__label = 1")
+    ratios = quality_rules.likelihood_ratios(good, docs)
+    return quality_rules.judge(docs, ratios).drop("text")
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document, read back from the shards."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -47,7 +95,12 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_wrappers": op2_wrappers,
+    "op3_quality_trees": op3_quality_trees,
+    "op4_language": op4_language,
+    "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_token_files": op10_token_files,
 }
