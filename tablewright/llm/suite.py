@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    language, mixing, quality_model, quality_rules, sharding, token_files, toxicity, wrappers,
+    decontamination, language, mixing, near_dups, quality_model, quality_rules, sharding, token_files, toxicity, wrappers,
 )
 from tablewright.llm.common import held_out, table, training_rows, utf8_crc32, word_count
 from tablewright.runtime import cut_lineage
 
 
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_dups.classes(docs).select("doc_id", "class_id")
+
+
 def op2_wrappers(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, folder, "pages")
@@ -41,6 +47,13 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.*")
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.contaminated(docs, table(spark, folder, "benchmark"))
+    return found.drop("doc_text")
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -95,9 +108,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_wrappers": op2_wrappers,
     "op3_quality_trees": op3_quality_trees,
     "op4_language": op4_language,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
