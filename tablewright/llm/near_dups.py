@@ -23,9 +23,12 @@ from tablewright.llm.hashing import NOT_ALNUM, bytes_of, mixed, pieces, shingle_
 from tablewright.runtime import cut_and_measure, cut_lineage
 
 WORDS = 5
-SKETCHES = 16
-MINIMA = 3
 SIMILARITY = 0.8
+# Sketches and the runs in each. With eight runs, texts that only share a passage seldom
+# share a sketch, and 48 of them miss a pair of similarity 0.8 once in 7000 times.
+SKETCHES, MINIMA = 48, 8
+# Texts with so few runs have further sketches, as eight of their runs leave out too few.
+SHORT, SHORT_SKETCHES, SHORT_MINIMA = 32, 24, 4
 PLACE_BITS = 24  # of a rank: the place in the text
 
 
@@ -62,7 +65,7 @@ def sketch(runs: np.ndarray, offsets: np.ndarray, sketches: int = SKETCHES, mini
     place = np.minimum(place, int(low)).astype(np.uint64)
     highest = np.uint64(2**64 - 1)
     for number in range(sketches if len(begins) else 0):
-        salt = np.uint64((number + 1) * 0xD1342543DE82EF95 & 2**64 - 1)
+        salt = np.uint64((number + 1 + 1000 * minima) * 0xD1342543DE82EF95 & 2**64 - 1)
         ranks = (mixed(runs ^ salt) & ~low) | place
         places = np.empty((minima, len(begins)), dtype=np.int64)
         for step in range(minima):
@@ -81,7 +84,8 @@ def sketch(runs: np.ndarray, offsets: np.ndarray, sketches: int = SKETCHES, mini
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
     """Similarity of two texts by their labelled runs: those that an alignment within the
-    band pairs, over all different ones. Below ``similarity`` it may be underestimated.
+    band pairs, over all different ones. Below ``similarity`` it may be wrong, but stays
+    below; with 0 there is no band, and it is exact.
 
     Two texts as similar as that differ in a bounded number of runs, and so does the place
     of a run in them: that is the band. All runs of a text differ, so the best alignment
@@ -99,7 +103,7 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
     near = np.abs(i - j) <= band
     j = j[near]
     pairs = len(j)
-    if pairs / (total - pairs) < similarity:
+    if not pairs or pairs / (total - pairs) < similarity:
         return pairs / (total - pairs)
     if not (np.diff(j) > 0).all():
         ends: list[int] = []
@@ -133,8 +137,14 @@ def _sketched(docs: DataFrame, text: str) -> DataFrame:
                 runs, offsets = labelled_runs(piece)
                 counts = np.diff(offsets)
                 keys = sketch(runs, offsets)
+                short = counts[counts > 0] <= SHORT
+                of_short = np.repeat(counts <= SHORT, counts)
+                few = np.concatenate(([0], np.cumsum(np.where(counts <= SHORT, counts, 0))))
+                more = iter(sketch(runs[of_short], few, SHORT_SKETCHES, SHORT_MINIMA))
+                both = [np.concatenate((k, next(more))) if s else k for k, s in zip(keys, short)]
                 flat = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(keys) + 1) * SKETCHES, pa.int32()), pa.array(keys.ravel())
+                    pa.array(np.concatenate(([0], np.cumsum(SKETCHES + SHORT_SKETCHES * short))), pa.int32()),
+                    pa.array(np.concatenate(both) if both else keys.ravel()),
                 )
                 yield pa.RecordBatch.from_arrays(
                     [nodes.filter(pa.array(counts > 0)), pa.array(counts[counts > 0]), flat],
@@ -148,8 +158,8 @@ def _sketched(docs: DataFrame, text: str) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose texts align at least as well as ``similarity``."""
+def measured(pairs: DataFrame, texts: DataFrame, similarity: float = 0.0) -> DataFrame:
+    """The pairs (a, b) whose texts align at least as well as ``similarity``, with how well."""
     named = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(named, "b")
@@ -157,23 +167,30 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done, keep = 0, []
+            done, found = 0, []
             for piece in pieces(batch.column("text_a")):
                 # A leader's pairs arrive together: its runs are made once.
                 others = batch.column("text_b").slice(done, len(piece)).dictionary_encode()
                 runs_a, at_a = labelled_runs(piece)
                 runs_b, at_b = labelled_runs(others.dictionary)
-                which = others.indices.to_pylist()
-                for row, other in enumerate(which):
+                for row, other in enumerate(others.indices.to_pylist()):
                     a = runs_a[at_a[row] : at_a[row + 1]]
                     b = runs_b[at_b[other] : at_b[other + 1]]
-                    keep.append(aligned(a, b, similarity) >= similarity)
+                    found.append(aligned(a, b, similarity))
                 done += len(piece)
+            values = np.array(found, dtype=np.float64)
+            keep = pa.array(values >= similarity)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(name).filter(pa.array(keep, pa.bool_())) for name in ("a", "b")], names=["a", "b"]
+                [batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(values).filter(keep)],
+                names=["a", "b", "alike"],
             )
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(work, "a binary, b binary")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(work, "a binary, b binary, alike double")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose texts align at least as well as ``similarity``."""
+    return measured(pairs, texts, similarity).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -208,21 +225,25 @@ def _directed(links: DataFrame) -> DataFrame:
 def text_links(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Links that join all near-duplicate texts: ``node``, ``root``.
 
-    Texts with one sketch in common form a bucket. First, every text of a bucket is
-    compared with two leaders, the members with the smallest and the largest hash, which
-    takes two pairs per member. Where that leaves a bucket in several components, the
-    members outside the first leader's component are compared with every member that is
-    not in theirs; so no link within a bucket is lost, whatever its size. Only texts whose
-    numbers of runs allow the similarity are compared.
+    Texts with one sketch in common form a bucket. Comparing all pairs of a large bucket
+    is never done; most of its links follow from few comparisons. First every text meets
+    leaders of its buckets: the most central member (the one whose buckets have the most
+    members) and the one with the smallest hash. What is left is exact: in every bucket
+    with several components, the members outside its leader's are compared with all
+    members that are not in theirs, so that no link within a bucket is lost, whatever its
+    size. Pairs that can't be similar are passed over: those whose numbers of runs differ
+    too much, and those without a rare run in common (``_rare_runs``).
     """
     nodes = _sketched(docs, text)
+
     member = nodes.select("node", "n", F.posexplode("keys").alias("number", "key"))
-    ranked = F.struct(F.xxhash64("number", "node").alias("rank"), "node", "n")
-    buckets = member.groupBy("number", "key").agg(
-        F.min(ranked).alias("first"), F.max(ranked).alias("last"), F.count(F.lit(1)).alias("members")
-    )
-    shared = cut_lineage(member.join(buckets.filter("members > 1").drop("members"), ["number", "key"]))
+    counted = member.groupBy("number", "key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = cut_lineage(member.join(counted, ["number", "key"]))
+    degrees = shared.groupBy("node").agg(F.sum("members").alias("degree"))
+    shared = cut_lineage(shared.drop("members").join(degrees, "node"))
 
+    central = F.struct("degree", F.xxhash64("node").alias("rank"), "node", "n")
+    chosen = F.struct(F.xxhash64("node").alias("rank"), "node", "n")
     fits = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n")
 
     def candidates(rows: DataFrame) -> DataFrame:
@@ -230,8 +251,12 @@ def text_links(docs: DataFrame, text: str = "text", similarity: float = SIMILARI
         fitting = rows.filter((F.col("node") != F.col("other")) & fits)
         return fitting.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
-    with_leaders = shared.select("node", "n", F.explode(F.array("first", "last")).alias("leader")).select(
-        "node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("other_n")
+    middle = F.max(central)
+    led = shared.groupBy("number", "key").agg(F.array(_named(middle), _named(F.min(chosen))).alias("leaders"))
+    with_leaders = (
+        shared.select("number", "key", "node", "n").join(led, ["number", "key"])
+        .select("node", "n", F.explode_outer("leaders").alias("leader"))
+        .select("node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("other_n"))
     )
     wanted = shared.select("node").distinct()
     texts = cut_lineage(
@@ -241,29 +266,83 @@ def text_links(docs: DataFrame, text: str = "text", similarity: float = SIMILARI
     links = cut_lineage(verified(candidates(with_leaders), texts, similarity))
     roots = components(links)
 
-    placed = (
-        shared.join(roots, "node", "left")
-        .select("number", "key", "node", "n", F.coalesce("root", "node").alias("root"), F.col("first.node").alias("lead"))
-    )
-    lead_root = F.max(F.when(F.col("node") == F.col("lead"), F.col("root")))
-    split = placed.groupBy("number", "key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), lead_root.alias("lead_root")
-    ).filter("low <> high").select("number", "key", "lead_root")
-    open_ = cut_lineage(placed.join(split, ["number", "key"]))
-    outside = open_.filter("root <> lead_root").select(
-        "number", "key", "node", "n", F.col("root").alias("own")
-    )
+    def still_open(roots: DataFrame) -> DataFrame:
+        """Rows of the buckets with several components, with the members' ``root`` and the
+        leader's ``lead_root``."""
+        placed = shared.join(roots, "node", "left").select(
+            "number", "key", "node", "n", "degree", F.coalesce("root", "node").alias("root")
+        )
+        lead = F.max(F.struct("degree", F.xxhash64("node").alias("rank"), "root"))["root"]
+        split = placed.groupBy("number", "key").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), lead.alias("lead_root")
+        ).filter("low <> high").select("number", "key", "lead_root")
+        return cut_lineage(placed.join(split, ["number", "key"]))
+
+    open_ = still_open(roots)
+    rare = _rare_runs(open_.select("node").distinct().join(texts, "node"), similarity)
+    open_ = cut_lineage(open_.join(rare, "node"))
+    outside = open_.filter("root <> lead_root").select("number", "key", "node", "n", "root", "rare")
     others = open_.select(
-        "number", "key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root")
+        "number", "key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"),
+        F.col("rare").alias("other_rare"),
     )
     rest = outside.join(
         others,
         (outside["number"] == others["number"]) & (outside["key"] == others["key"])
-        & (outside["own"] != others["other_root"]) & fits,
+        & (outside["root"] != others["other_root"]) & fits & F.arrays_overlap("rare", "other_rare"),
     ).select("node", "n", "other", "other_n")
     more = verified(candidates(rest), texts, similarity)
-    joined = links.unionByName(more).toDF("u", "v").unionByName(roots.toDF("u", "v"))
-    return components(joined.toDF("u", "v"))
+    return components(links.unionByName(more))
+
+
+def _rare_runs(texts: DataFrame, similarity: float, bits: int = 20) -> DataFrame:
+    """``node`` and ``rare``, so many of its rarest runs that a text as similar has one of
+    its own rarest runs among them.
+
+    Of n runs, similar texts share so many that n minus those, plus one, in any fixed order
+    of all runs cannot all be missed (prefix filter). In the order from rare to frequent,
+    texts that have only a widespread passage in common are told apart. Frequencies are
+    counted in ``2**bits`` hash buckets, which bounds what reaches the driver; the order
+    need not be exact for the filter to be.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(1 << bits, dtype=np.int64)
+        for batch in batches:
+            for piece in pieces(batch.column("text")):
+                runs, _ = labelled_runs(piece)
+                sums += np.bincount((runs >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        used = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(sums[used])], names=["bucket", "n"])
+
+    counted = texts.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << bits, dtype=np.int64)
+    table[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    frequency = texts.sparkSession.sparkContext.broadcast(table)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for piece in pieces(batch.column("text")):
+                runs, offsets = labelled_runs(piece)
+                often = frequency.value[(runs >> np.uint64(64 - bits)).astype(np.int64)]
+                chosen = []
+                for begin, end in zip(offsets.tolist(), offsets[1:].tolist()):
+                    n = end - begin
+                    most = n - int(np.ceil(similarity * n - 1e-9)) + 1
+                    order = np.lexsort((runs[begin:end], often[begin:end]))[:most]
+                    chosen.append(runs[begin:end][order].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(done, len(piece)), pa.array(chosen, pa.list_(pa.int64()))],
+                    names=["node", "rare"],
+                )
+                done += len(piece)
+
+    return texts.select("node", "text").mapInArrow(choose, "node binary, rare array<long>")
+
+
+def _named(leader):
+    return F.struct(leader["node"].alias("node"), leader["n"].alias("n"))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
