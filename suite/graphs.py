@@ -47,9 +47,14 @@ def similar_items(spark, folder):
     return named
 
 
+# Lines of odd parts name a part that the table doesn't have.
+_SOLD = "CASE WHEN l_partkey % 2 = 1 THEN l_partkey + 1000000000 ELSE l_partkey END"
+
+
 def popular_items(spark, folder):
     lines = table(spark, folder, "lineitem")
-    names = table(spark, folder, "part").filter("p_partkey % 2 = 0")
+    lines = lines.selectExpr(f"{_SOLD} AS l_partkey")
+    names = table(spark, folder, "part")
     return M.popular_items(lines, names, "l_partkey", "p_partkey", "p_name", 10)
 
 
@@ -88,10 +93,7 @@ ORDER_OFFSET = 100_000_000
 
 
 def _edges(spark, folder):
-    lines = table(spark, folder, "lineitem").filter(
-        (F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
-        & (F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    )
+    lines = table(spark, folder, "lineitem")
     order = F.col("l_orderkey") + ORDER_OFFSET
     forward = lines.select(F.col("l_partkey").alias("src"), order.alias("dst"))
     return forward.unionByName(forward.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -102,17 +104,19 @@ def adjacency_edges(spark, folder):
 
 
 def bfs_distances(spark, folder):
-    return G.bfs_distances(_edges(spark, folder), 1, 10).withColumns(as_long("distance"))
+    return G.bfs_distances(_edges(spark, folder), 1).withColumns(as_long("distance"))
 
 
 def bfs_all_vertices(spark, folder):
-    reached = G.bfs_distances(_edges(spark, folder), 1, 3, keep_unreached=True)
+    """Suppliers stand for vertices without edges."""
+    alone = table(spark, folder, "supplier").select(F.col("s_suppkey") + 2 * ORDER_OFFSET)
+    reached = G.bfs_distances(_edges(spark, folder), 1, keep_unreached=True, vertices=alone)
     return reached.withColumns(as_long("distance"))
 
 
 def bfs_target(spark, folder):
-    """The way back to part 1 over its orders, and how many edges lead there."""
-    return G.bfs(_edges(spark, folder), 1, 1, 10).withColumns(as_long("distance"))
+    """Rounds from part 1 to part 2 over orders, and how many edges lead there."""
+    return G.bfs(_edges(spark, folder), 1, 2).withColumns(as_long("distance"))
 
 
 QUERIES = {
@@ -147,9 +151,9 @@ _NAMED = f"""WITH d AS ({_DEGREE})
     SELECT id, connections, coalesce(s_name, 'Unknown') AS name FROM d LEFT JOIN supplier ON id = s_suppkey"""
 _EDGES = f"""edges AS (
     SELECT l_partkey AS src, l_orderkey + {ORDER_OFFSET} AS dst FROM lineitem
-    WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1996-01-01'
-    UNION ALL SELECT l_orderkey + {ORDER_OFFSET}, l_partkey FROM lineitem
-    WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1996-01-01')"""
+    UNION ALL SELECT l_orderkey + {ORDER_OFFSET}, l_partkey FROM lineitem)"""
+# More rounds than any of the graphs needs.
+_ROUNDS = 16
 
 
 def _walk(depth: int) -> str:
@@ -172,23 +176,24 @@ ORACLE = {
             WHERE (item1 = 1 OR item2 = 1) AND score > 0.5 AND num_pairs > 3) AS s
         LEFT JOIN supplier ON item = s_suppkey
         ORDER BY score DESC, num_pairs DESC, item LIMIT 10""",
-    "popular_items": """SELECT l_partkey, count, coalesce(p_name, 'Unknown') AS p_name
-        FROM (SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY 1
-              ORDER BY count(*) DESC, l_partkey LIMIT 10) AS t
-        LEFT JOIN (SELECT * FROM part WHERE p_partkey % 2 = 0) AS p ON l_partkey = p_partkey""",
+    "popular_items": f"""SELECT t.sold AS l_partkey, count, coalesce(p_name, 'Unknown') AS p_name
+        FROM (SELECT {_SOLD} AS sold, count(*) AS count FROM lineitem GROUP BY 1
+              ORDER BY count(*) DESC, sold LIMIT 10) AS t
+        LEFT JOIN part ON t.sold = p_partkey""",
     "degree": _DEGREE,
     "degree_raw": "SELECT l_suppkey AS id, CAST(3 * count(*) AS BIGINT) AS connections FROM lineitem GROUP BY 1",
     "most_connected": f"{_NAMED} ORDER BY connections DESC, id LIMIT 1",
     "least_connected": f"{_NAMED} WHERE connections = (SELECT min(connections) FROM d)",
     "adjacency_edges": """SELECT l_suppkey AS src, l_orderkey AS dst FROM lineitem
         UNION ALL SELECT l_suppkey, l_partkey FROM lineitem""",
-    "bfs_distances": f"{_walk(10)} SELECT id, distance FROM reached",
-    "bfs_all_vertices": f"""{_walk(3)}
+    "bfs_distances": f"{_walk(_ROUNDS)} SELECT id, distance FROM reached",
+    "bfs_all_vertices": f"""{_walk(_ROUNDS)}
         SELECT id, distance FROM reached
         UNION ALL SELECT id, 9999 FROM (SELECT DISTINCT src AS id FROM edges
-            WHERE src NOT IN (SELECT id FROM reached)) AS rest""",
-    "bfs_target": f"""WITH {_EDGES}
-        SELECT CAST(2 AS BIGINT) AS distance, count(*) AS directions FROM edges AS e
-        WHERE e.dst = 1 AND e.src IN (SELECT dst FROM edges WHERE src = 1)
-        HAVING count(*) > 0""",
+            WHERE src NOT IN (SELECT id FROM reached)) AS rest
+        UNION ALL SELECT s_suppkey + {2 * ORDER_OFFSET}, 9999 FROM supplier""",
+    "bfs_target": f"""{_walk(_ROUNDS)}
+        SELECT t.distance, count(*) AS directions FROM reached AS t
+        JOIN edges AS e ON e.dst = t.id JOIN reached AS r ON r.id = e.src AND r.distance = t.distance - 1
+        WHERE t.id = 2 GROUP BY 1""",
 }

@@ -8,7 +8,7 @@ from suite.tables import as_double, as_long, cents, from_cents, money, table
 from tablewright.operators import windows as W
 
 # Small enough that every user of the test tables counts as hot and is cut into blocks.
-BLOCKED = 20
+BLOCKED = 80
 
 
 def _events(spark, folder):

@@ -13,12 +13,12 @@ from tablewright.operators import ordering as O
 from tablewright.operators import rows as R
 from tablewright.plans import reports
 
-SINCE = "2001-01-01"
+# All orders; two of three customers have none.
+OWNER = "o_custkey - o_custkey % 3"
 
 
-def _recent_orders(spark, folder):
-    orders = table(spark, folder, "orders").filter(F.col("o_orderdate") >= F.lit(SINCE).cast("timestamp_ntz"))
-    return orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice")
+def _placed_orders(spark, folder):
+    return table(spark, folder, "orders").selectExpr("o_orderkey", f"{OWNER} AS c_custkey", "o_totalprice")
 
 
 def _customers(spark, folder):
@@ -125,19 +125,19 @@ def explode_list(spark, folder):
 
 
 def join_inner(spark, folder):
-    return J.inner_join(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey")
+    return J.inner_join(_customers(spark, folder), _placed_orders(spark, folder), "c_custkey")
 
 
 def join_partitioned(spark, folder):
-    return J.inner_join(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey", 16)
+    return J.inner_join(_customers(spark, folder), _placed_orders(spark, folder), "c_custkey", 16)
 
 
 def join_left(spark, folder):
-    return J.left_join(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey")
+    return J.left_join(_customers(spark, folder), _placed_orders(spark, folder), "c_custkey")
 
 
 def join_anti(spark, folder):
-    return J.no_match(_customers(spark, folder), _recent_orders(spark, folder), "c_custkey")
+    return J.no_match(_customers(spark, folder), _placed_orders(spark, folder), "c_custkey")
 
 
 def join_chain(spark, folder):
@@ -151,9 +151,13 @@ def join_chain(spark, folder):
     return chained.select("o_orderkey", "c_custkey", "customer_name", "n_name")
 
 
+# Every fourth supplier is in a nation that the table doesn't have.
+_MOVED = "CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey + 100 ELSE s_nationkey END"
+
+
 def lookup_default(spark, folder):
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, folder, "nation").filter("n_nationkey % 4 <> 0")
+    supplier = table(spark, folder, "supplier").selectExpr("s_suppkey", f"{_MOVED} AS s_nationkey")
+    nation = table(spark, folder, "nation")
     named = J.lookup(supplier, nation, "s_nationkey", "n_name", "Unknown", dim_key="n_nationkey")
     return named.withColumns(as_long("s_nationkey"))
 
@@ -168,11 +172,8 @@ def group_sum(spark, folder):
 
 
 def group_avg(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderstatus", money("o_totalprice").alias("price"))
-    sums = A.group_sum(orders, "o_orderstatus", "price", "total")
-    counts = A.count_non_null(orders, "o_orderstatus", "price", "n")
-    mean = (F.col("total").cast("double") / F.col("n")).alias("average")
-    return sums.join(counts, "o_orderstatus").select("o_orderstatus", mean)
+    orders = table(spark, folder, "orders").select("o_orderstatus", cents("o_totalprice").alias("price"))
+    return A.group_avg(orders, "o_orderstatus", "price").withColumns(from_cents("average"))
 
 
 def group_avg_rounded(spark, folder):
@@ -233,10 +234,12 @@ def pivot_sum_found(spark, folder):
     return wide.withColumns(from_cents(*(c for c in wide.columns if c != "user_id")))
 
 
+# Every fourth order has a customer of its own.
+_BUYER = "CASE WHEN o_orderkey % 4 = 0 THEN -o_orderkey ELSE o_custkey END"
+
+
 def _span(spark, folder):
-    return table(spark, folder, "orders").filter(
-        F.col("o_orderdate") >= F.lit("2000-06-01").cast("timestamp_ntz")
-    )
+    return table(spark, folder, "orders").selectExpr(f"{_BUYER} AS o_custkey")
 
 
 def duplicate_keys(spark, folder):
@@ -296,7 +299,8 @@ def _buyers(spark, folder, status):
 
 
 def union_all(spark, folder):
-    return L.union_all(_buyers(spark, folder, "O"), _buyers(spark, folder, "F"))
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return L.union_all(table(spark, folder, "orders").select("o_custkey"), customers)
 
 
 def intersect(spark, folder):
@@ -338,9 +342,7 @@ def spend_by_customer(spark, folder):
 def extreme_by_key(spark, folder):
     events = table(spark, folder, "events")
     kind = F.col("event_type").isin("click", "view")
-    low = reports.extreme_by_key(events, "user_id", "value", "min", kind, "low")
-    high = reports.extreme_by_key(events, "user_id", "value", "max", kind, "high")
-    return low.join(high, "user_id")
+    return reports.extremes_by_key(events, "user_id", "value", kind)
 
 
 def _segment_input(spark, folder):
@@ -381,10 +383,7 @@ QUERIES = {
     if callable(query) and getattr(query, "__module__", None) == __name__ and not name.startswith("_")
 }
 
-_RECENT = (
-    "(SELECT o_orderkey, o_custkey AS c_custkey, o_totalprice FROM orders "
-    f"WHERE o_orderdate >= TIMESTAMP '{SINCE}') AS r"
-)
+_PLACED = f"(SELECT o_orderkey, {OWNER} AS c_custkey, o_totalprice FROM orders) AS r"
 _PRICE = "CAST(o_totalprice AS DECIMAL(18, 2))"
 _LINE_PRICE = "CAST(l_extendedprice AS DECIMAL(18, 2))"
 _VALUE = "CAST(value AS DECIMAL(18, 2))"
@@ -434,19 +433,19 @@ ORACLE = {
     "flatten_struct": """SELECT event_id AS id, event_type AS kind,
         CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "explode_list": "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part",
-    "join_inner": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_RECENT} USING (c_custkey)",
-    "join_partitioned": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_RECENT} USING (c_custkey)",
-    "join_left": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN {_RECENT} USING (c_custkey)",
-    "join_anti": f"SELECT c_custkey, c_name FROM customer ANTI JOIN {_RECENT} USING (c_custkey)",
+    "join_inner": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_PLACED} USING (c_custkey)",
+    "join_partitioned": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_PLACED} USING (c_custkey)",
+    "join_left": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN {_PLACED} USING (c_custkey)",
+    "join_anti": f"SELECT c_custkey, c_name FROM customer ANTI JOIN {_PLACED} USING (c_custkey)",
     "join_chain": """SELECT o_orderkey, c_custkey, c_name || ' ' || c_mktsegment AS customer_name, n_name
         FROM orders LEFT JOIN customer ON o_custkey = c_custkey
         LEFT JOIN nation ON c_nationkey = n_nationkey""",
-    "lookup_default": """SELECT s_suppkey, CAST(s_nationkey AS BIGINT) AS s_nationkey,
-        coalesce(n_name, 'Unknown') AS n_name FROM supplier
-        LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 4 <> 0) AS n ON s_nationkey = n_nationkey""",
+    "lookup_default": f"""SELECT s_suppkey, CAST(s.s_nationkey AS BIGINT) AS s_nationkey,
+        coalesce(n_name, 'Unknown') AS n_name FROM (SELECT s_suppkey, {_MOVED} AS s_nationkey FROM supplier) AS s
+        LEFT JOIN nation ON s.s_nationkey = n_nationkey""",
     "group_count": "SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1",
     "group_sum": f"SELECT o_custkey, CAST(sum({_PRICE}) AS DOUBLE) AS total FROM orders GROUP BY 1",
-    "group_avg": f"SELECT o_orderstatus, CAST(sum({_PRICE}) AS DOUBLE) / count({_PRICE}) AS average FROM orders GROUP BY 1",
+    "group_avg": f"SELECT o_orderstatus, CAST(100 * sum({_PRICE}) AS DOUBLE) / count({_PRICE}) / 100 AS average FROM orders GROUP BY 1",
     "group_avg_rounded": f"""SELECT o_orderstatus,
         CAST(round(CAST(CAST(sum({_PRICE}) AS DOUBLE) / count(*) AS DECIMAL(22, 6)), 2) AS DOUBLE) AS average
         FROM orders GROUP BY 1""",
@@ -464,10 +463,8 @@ ORACLE = {
         UNION ALL SELECT CAST(10 + sum({_LINE_PRICE}) AS DOUBLE), 'all' FROM lineitem""",
     "pivot_sum": _pivot("CAST(ts AS DATE) AS day"),
     "pivot_sum_found": _pivot("user_id"),
-    "duplicate_keys": """SELECT o_custkey, count(*) AS num_times FROM orders
-        WHERE o_orderdate >= TIMESTAMP '2000-06-01' GROUP BY 1 HAVING count(*) > 1""",
-    "unique_keys": """SELECT o_custkey, count(*) AS num_times FROM orders
-        WHERE o_orderdate >= TIMESTAMP '2000-06-01' GROUP BY 1 HAVING count(*) < 2""",
+    "duplicate_keys": f"SELECT {_BUYER} AS o_custkey, count(*) AS num_times FROM orders GROUP BY 1 HAVING count(*) > 1",
+    "unique_keys": f"SELECT {_BUYER} AS o_custkey, count(*) AS num_times FROM orders GROUP BY 1 HAVING count(*) < 2",
     "summary_stats": """SELECT count(p_size) AS count, round(avg(p_size), 6) AS mean,
         round(stddev_samp(p_size), 6) AS std, CAST(min(p_size) AS BIGINT) AS min,
         CAST(quantile_disc(p_size, 0.25) AS BIGINT) AS q1,
@@ -484,8 +481,7 @@ ORACLE = {
         ORDER BY count(*) DESC, l_suppkey LIMIT 1""",
     "min_ties": """WITH c AS (SELECT o_custkey, count(*) AS count FROM orders GROUP BY 1)
         SELECT * FROM c WHERE count = (SELECT min(count) FROM c)""",
-    "union_all": """SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'
-        UNION ALL SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'""",
+    "union_all": "SELECT o_custkey FROM orders UNION ALL SELECT c_custkey FROM customer",
     "intersect": """SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'
         INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'""",
     "partition_profile": "SELECT count(*) AS rows FROM lineitem",

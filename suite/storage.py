@@ -169,16 +169,6 @@ def source_file(spark, folder):
     return named.groupBy(kind.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def single_file(spark, folder):
-    """Files in a folder written with files=1, and the rows they hold."""
-    path = scratch_path(spark, "single")
-    W.write_csv(_orders(spark, folder), path, files=1)
-    rows = S.with_source_file(S.read_csv(spark, path, ORDER_DDL))
-    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")
-    )
-
-
 def revenue_lines(spark, folder):
     path = scratch_path(spark, "revenue")
     sales = table(spark, folder, "lineitem").select(
@@ -234,13 +224,6 @@ def register_table(spark, folder):
     return C.register_table(spark, name, f"{folder}/part.parquet").select("p_partkey", "p_name")
 
 
-def describe_tables(spark, folder):
-    space = _namespace(spark)
-    for name in ("orders", "customer"):
-        C.register_table(spark, f"{space}.{name}", f"{folder}/{name}.parquet")
-    return C.describe_tables(spark, space).select("table_name", "column_name")
-
-
 def verify_counts(spark, folder):
     space = _namespace(spark)
     for name in ("orders", "customer"):
@@ -271,8 +254,6 @@ ORACLE = {
     "csv_space": "SELECT p_partkey, p_name FROM part",
     "csv_glob": _ORDERS,
     "json_multiline": "SELECT c_custkey AS id, c_name AS name FROM customer",
-    "describe_tables": """SELECT 'orders' AS table_name, column_name FROM (DESCRIBE orders) AS o
-        UNION ALL SELECT 'customer', column_name FROM (DESCRIBE customer) AS c""",
     "csv_roundtrip": _ORDERS,
     "csv_no_header": _ORDERS,
     "csv_inferred": _ORDERS,
@@ -290,7 +271,6 @@ ORACLE = {
     "text_roundtrip": "SELECT p_name AS value FROM part",
     "skip_header": "SELECT p_name AS value FROM part",
     "source_file": "SELECT 'orders' AS file, count(*) AS rows FROM orders",
-    "single_file": "SELECT CAST(1 AS BIGINT) AS files, count(*) AS rows FROM orders",
     "revenue_lines": """SELECT concat_ws(',', CAST(l_orderkey AS VARCHAR), l_returnflag,
         CAST(CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) * CAST(l_quantity AS DECIMAL(4, 0))
              AS DECIMAL(18, 2)) AS VARCHAR)) AS value FROM lineitem""",

@@ -27,6 +27,7 @@ TAGGED = (
     "CASE WHEN event_id % 7 = 0 THEN concat('user ', CAST(user_id AS STRING)) "
     "WHEN event_id % 9 = 0 THEN concat('a #', event_type, ' and #u', CAST(user_id AS STRING), '!') "
     "WHEN event_id % 11 = 0 THEN NULL "
+    "WHEN event_id % 5 = 0 THEN concat('#हिन्दी #x² #½', event_type, ' #na', 'i\u0308ve #ж', CAST(user_id AS STRING)) "
     "ELSE concat('did #', event_type, '.') END AS text"
 )
 
@@ -125,9 +126,9 @@ def _words(tokens: str) -> str:
 
 
 _TAGS = f"(SELECT event_id, {TAGGED} FROM events) AS t"
-_TAG_ROWS = f"SELECT event_id, text, unnest(regexp_extract_all(text, '#\\w+')) AS hashtag FROM {_TAGS}"
+_TAG_ROWS = f"SELECT event_id, text, unnest(regexp_extract_all(text, '#[\\p{{L}}\\p{{N}}_]+')) AS hashtag FROM {_TAGS}"
 _TAG_COUNT = (
-    f"SELECT event_id, CAST(len(regexp_extract_all(text, '#\\w+')) AS BIGINT) AS n FROM {_TAGS}"
+    f"SELECT event_id, CAST(len(regexp_extract_all(text, '#[\\p{{L}}\\p{{N}}_]+')) AS BIGINT) AS n FROM {_TAGS}"
 )
 _LINES = f"(SELECT event_id, {LINE} FROM events) AS l"
 
@@ -141,7 +142,7 @@ ORACLE = {
     "word_count_ascii": _words("list_transform(regexp_split_to_array(text, '[^a-zA-Z0-9_]+'), lambda x: lower(x))"),
     "word_count_ws": _words("regexp_split_to_array(text, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}]+')"),
     "word_count_regex": _words(
-        "regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}_]+(?: ''[\\p{L}\\p{M}\\p{N}_]+)*')"
+        "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+(?: ''[\\p{L}\\p{N}_]+)*')"
     ),
     "hashtags": _TAG_ROWS,
     "hashtag_count": _TAG_COUNT,

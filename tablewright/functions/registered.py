@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The SQL names.
 COUNT_HASHTAG = "count_hashtag"
 HASHTAG_TABLE = "HashtagExtractor"
 LABEL = "user_label"
@@ -29,9 +30,9 @@ def hashtag_counter():
 
 
 def hashtag_table():
-    """Table function: one row per hashtag of its argument."""
+    """Table function: one row per hashtag of its argument; rows travel in Arrow batches."""
 
-    @F.udtf(returnType="hashtag: string")
+    @F.udtf(returnType="hashtag: string", useArrow=True)
     class Extractor:
         def eval(self, text: str):
             import re

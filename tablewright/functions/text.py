@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Token patterns. (?U) makes \w and \b follow Unicode.
-HASHTAG_PATTERN = r"(?U)#\w+"
-WORD_PATTERN = r"(?U)\b\w+(?: '\w+)*\b"
+# Token patterns. A word has letters, numbers of every kind and underscores,
+# but no combining marks: \w of Java differs, so the class and its limits are spelt out.
+WORD_CHARACTER = r"[\p{L}\p{N}_]"
+HASHTAG_PATTERN = rf"#{WORD_CHARACTER}+"
+WORD_PATTERN = rf"{WORD_CHARACTER}+(?: '{WORD_CHARACTER}+)*"
 ASCII_GAP = r"\W+"
 WHITE_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 

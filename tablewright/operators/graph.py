@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +37,13 @@ def degree(
 ) -> DataFrame:
     """Neighbours listed per vertex, over all its lines.
 
-    ``raw=True`` splits on single spaces, so a trailing space counts as one more.
+    ``raw=True`` splits on single spaces, so a trailing space counts as one more. Blank
+    lines name no vertex and are left out unless ``raw``.
     """
-    tokens = lines.select(_tokens(column, raw).alias("_t")).select(
+    split = lines.select(_tokens(column, raw).alias("_t"))
+    if not raw:
+        split = split.filter(F.get("_t", F.lit(0)) != "")
+    tokens = split.select(
         F.get("_t", F.lit(0)).try_cast(kind).alias("id"), (F.size("_t") - 1).alias("_n")
     )
     return tokens.groupBy("id").agg(F.sum("_n").alias("connections"))
@@ -61,7 +66,7 @@ def _prepared(edges: DataFrame, src: str, dst: str) -> DataFrame:
 
 
 def _rounds(
-    edges: DataFrame, start: object, max_depth: int, target: object = None
+    edges: DataFrame, start: object, max_depth: int | None, target: object = None
 ) -> Iterator[tuple[int, int, DataFrame]]:
     """Breadth-first rounds as (depth, ways into the target, vertices seen so far).
 
@@ -74,7 +79,9 @@ def _rounds(
     frontier = seen = edges.sparkSession.range(1).select(
         F.lit(start).cast(kind).alias("id"), F.lit(0).alias("distance")
     )
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
+        if max_depth is not None and depth > max_depth:
+            return
         ahead = frontier.select(F.col("id").alias("src"))
         hits = edges.join(ahead, "src").groupBy(F.col("dst").alias("id")).agg(
             F.count(F.lit(1)).alias("ways")
@@ -97,14 +104,17 @@ def _rounds(
 def bfs_distances(
     edges: DataFrame,
     start: object,
-    max_depth: int = 10,
+    max_depth: int | None = None,
     src: str = "src",
     dst: str = "dst",
     keep_unreached: bool = False,
+    vertices: DataFrame | None = None,
 ) -> DataFrame:
-    """Distance in directed edges from ``start``, within ``max_depth`` rounds.
+    """Distance in directed edges from ``start``, until nothing new is reached.
 
-    With ``keep_unreached`` the other vertices follow at distance 9999.
+    ``max_depth`` ends the search earlier. With ``keep_unreached`` the other vertices
+    follow at distance 9999: those of the edges, and of the one-column table ``vertices``,
+    which may list vertices without edges.
     """
     edges = _prepared(edges, src, dst)
     reached = None
@@ -112,8 +122,10 @@ def bfs_distances(
         pass
     if not keep_unreached:
         return reached
-    vertices = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
-    rest = vertices.join(reached, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
+    every = edges.select(F.col("src").alias("id")).union(edges.select("dst"))
+    if vertices is not None:
+        every = every.union(vertices.select(F.col(vertices.columns[0]).cast(every.schema["id"].dataType)))
+    rest = every.filter("id IS NOT NULL").distinct().join(reached, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
     return reached.unionByName(rest)
 
 
@@ -121,7 +133,7 @@ def bfs(
     edges: DataFrame,
     start: object,
     target: object,
-    max_depth: int = 10,
+    max_depth: int | None = None,
     src: str = "src",
     dst: str = "dst",
 ) -> DataFrame:

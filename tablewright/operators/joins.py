@@ -52,12 +52,12 @@ def lookup(
     default: str,
     dim_key: str | None = None,
     name: str | None = None,
-    unique: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Add the dimension's ``value`` for ``key``, or ``default`` where it has none.
 
-    With ``unique=False`` repeated dimension keys are reduced to their largest value,
-    so that the lookup never multiplies rows.
+    Repeated dimension keys are reduced to their largest value, so that the lookup never
+    multiplies rows. ``unique=True`` skips that where keys are known to be unique.
     """
     name = name or value
     pairs = dim.select(F.col(dim_key or key).alias("_key"), F.col(value).alias("_value"))

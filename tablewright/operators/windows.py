@@ -1,11 +1,13 @@
 """Ordered analytics per group: running values, lags, moving means, sessions.
 
-Each operator is an ordinary window while every group fits in a task. Groups
-above ``hot_rows`` rows are cut along the order column into blocks. A block is
-processed on its own and the little it needs from earlier blocks (a running
-sum, the last few values) comes from a table with one row per block. Finding
-large groups is one extra scan of the group columns; ``hot_rows=None`` skips it
-where the caller knows that no group is large.
+Each operator is an ordinary window while every group fits in a task. The rows of
+groups above ``hot_rows`` are range-partitioned by group and order, which cuts them into
+blocks of near equal size whatever the order columns hold; rows tied in the order stay
+together. A block is processed on its own and the little it needs from earlier blocks (a
+running sum, the last few values) comes from a table with one row per block. The result
+does not depend on ``hot_rows``: where single rows count (previous values, moving means),
+ties are broken by the other columns in both forms. Finding large groups is one extra
+scan of the group columns; ``hot_rows=None`` skips it where no group is large.
 """
 
 from __future__ import annotations
@@ -22,54 +24,50 @@ from tablewright.runtime import cut_lineage
 
 BLOCK = "_block"
 BLOCK_KEYS = [GROUP_ID, BLOCK]
-# Blocks have equal width on the order axis, not equal size, so cut finer than needed.
-OVERSPLIT = 4
+# Range boundaries come from a sample, so cut finer than needed.
+OVERSPLIT = 2
 
 
 def _names(value: str | Sequence[str]) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
-def _axis(df: DataFrame, name: str) -> Column | None:
-    """The order column as a number, keeping its order; None if it is no number or time."""
-    kind = df.schema[name].dataType
-    column = F.col(name)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    if isinstance(kind, T.NumericType):
-        return column.cast("double")
-    return None
+def _total_order(df: DataFrame, part: list[str], order: list[str]) -> list[str]:
+    """The order, then every other column that can be compared."""
+    def comparable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return comparable(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(comparable(field.dataType) for field in kind.fields)
+        return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+    taken = {*part, *sort_names(order)}
+    return order + [f.name for f in df.schema.fields if f.name not in taken and comparable(f.dataType)]
+
+
+def epoch_seconds(df: DataFrame, name: str, column: Column | None = None) -> Column:
+    """Whole seconds since 1970 of a time column, the same in every session time zone
+    where the column has none."""
+    column = F.col(name) if column is None else column
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        since = column - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.floor(since.cast("interval second").cast("decimal(20,6)"))
+    return F.unix_timestamp(column.cast("timestamp"))
 
 
 def _with_blocks(
     df: DataFrame, part: list[str], order: list[str], hot_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """Split into (rows of ordinary groups, rows of hot groups with block numbers)."""
-    axis = _axis(df, order[0])
-    # Without a numeric axis only the counts are checked.
-    number = F.lit(None).cast("double") if axis is None else axis
-    finite = F.when(F.abs(number) < float("inf"), number)
-    hot = hot_groups(
-        df, part, hot_rows, [F.min(finite).alias("_low"), F.max(finite).alias("_high")]
-    )
+    hot = hot_groups(df, part, hot_rows)
     if hot is None:
         return df, None
-    if axis is None:
-        raise TypeError(f"cannot cut groups above {hot_rows} rows along text column {order[0]}")
     ordinary, heavy = split_hot(df, hot, part)
-    pieces = (F.ceil(F.col(GROUP_ROWS) / F.lit(max(hot_rows, 1))) * OVERSPLIT).cast("long")
-    bucket = F.width_bucket(finite, F.col("_low"), F.col("_high"), pieces)
-    # Blocks keep Spark's order: nulls and -inf first, inf and NaN last.
-    block = (
-        F.when(axis.isNull() | (axis == float("-inf")), F.lit(-1))
-        .when(finite.isNull(), pieces + 2)
-        .otherwise(F.coalesce(bucket, F.lit(0)))
-    )
-    return ordinary, heavy.withColumn(BLOCK, block.cast("long")).drop(
-        GROUP_ROWS, "_low", "_high"
-    )
+    rows = hot.agg(F.sum(GROUP_ROWS)).first()[0]
+    blocks = -(-rows // max(hot_rows, 1)) * OVERSPLIT
+    ranged = heavy.repartitionByRange(int(blocks), GROUP_ID, *order)
+    # Written down once: all later steps see the same blocks.
+    return ordinary, cut_lineage(ranged.withColumn(BLOCK, F.spark_partition_id())).drop(GROUP_ROWS)
 
 
 def _run(
@@ -178,8 +176,12 @@ def previous_value(
     default: object = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Value ``offset`` rows earlier; ``default`` where there is no such row."""
+    """Value ``offset`` rows earlier; ``default`` where there is no such row.
+
+    Rows tied in the order follow each other by their other columns.
+    """
     part, order = _names(part), _names(order)
+    order = _total_order(df, part, order)
 
     def plain(rows):
         window = Window.partitionBy(*part).orderBy(*order)
@@ -224,8 +226,12 @@ def moving_avg(
     digits: int = 2,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Mean of the current and the ``rows - 1`` preceding rows, rounded."""
+    """Mean of the current and the ``rows - 1`` preceding rows, rounded.
+
+    Rows tied in the order follow each other by their other columns.
+    """
     part, order = _names(part), _names(order)
+    order = _total_order(df, part, order)
     size = rows - 1
 
     def plain(data):
@@ -274,9 +280,7 @@ def sessionize(
     part, order = _names(user), [ts]
 
     def starts(previous: Column) -> Column:
-        idle = F.unix_timestamp(F.col(ts).cast("timestamp")) - F.unix_timestamp(
-            previous.cast("timestamp")
-        )
+        idle = epoch_seconds(df, ts) - epoch_seconds(df, ts, previous)
         return F.when(previous.isNull() | (idle > gap_s), 1).otherwise(0)
 
     def plain(rows):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tablewright.operators.aggregates import group_min_max
 from tablewright.operators.ordering import sort_columns, top_k
 from tablewright.sinks.files import write_parquet
 
@@ -30,6 +31,13 @@ def extreme_by_key(
     return rows.groupBy(key).agg(pick(value).alias(name))
 
 
+def extremes_by_key(
+    df: DataFrame, key: str, value: str, kind: Column | None = None, low: str = "low", high: str = "high"
+) -> DataFrame:
+    """Smallest and largest value per key in one pass, of one kind of rows."""
+    return group_min_max(df if kind is None else df.filter(kind), key, value, low, high)
+
+
 def revenue_lines(
     sales: DataFrame,
     product: str = "product_id",

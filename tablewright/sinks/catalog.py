@@ -38,8 +38,16 @@ def publish_table(df: DataFrame, name: str, provider: str = "parquet") -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str, provider: str = "parquet") -> DataFrame:
-    """Enter existing files in the catalog as an external table, replacing its entry."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Enter existing files in the catalog as an external table, replacing its entry.
+
+    Only the entry of another external table is replaced. A managed table owns its files
+    and would lose them, so it is refused.
+    """
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} is a {kind} table; drop it first if its data may go")
+        spark.sql(f"DROP TABLE {name}")
     return spark.catalog.createTable(name, path=path, source=provider)
 
 
@@ -62,18 +70,6 @@ def verify_counts(spark: SparkSession, expected: Mapping[str, int | None]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def describe_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    """(table_name, position, column_name, data_type) for a namespace's tables."""
-    rows = [
-        (entry.name, position, column.name, column.dataType)
-        for entry in spark.catalog.listTables(namespace)
-        if not entry.isTemporary
-        for position, column in enumerate(spark.catalog.listColumns(f"{namespace}.{entry.name}"))
-    ]
-    schema = "table_name string, position int, column_name string, data_type string"
-    return spark.createDataFrame(rows, schema)
-
-
 def create_view(spark: SparkSession, name: str, query: str, temporary: bool = False) -> None:
     """Create or replace a view over SQL text."""
     kind = "TEMPORARY VIEW" if temporary else "VIEW"

@@ -31,7 +31,7 @@ def read_csv(
     """
     if mode.upper() == "DROPMALFORMED":
         if schema is None:
-            guess = spark.read.option("header", header).option("sep", sep)
+            guess = spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
             schema = guess.option("inferSchema", infer).csv(path).schema
         return checked_csv(spark, path, schema, header, sep, encoding)[0]
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)

@@ -129,13 +129,20 @@ def test_namespace_is_kept_unless_replaced(spark, namespace, tmp_path):
     assert not spark.catalog.tableExists(f"{namespace}.t")
 
 
-def test_registered_files_and_descriptions(spark, namespace, tmp_path, rows):
+def test_registered_files(spark, namespace, tmp_path):
     spark.range(4).selectExpr("id", "'x' AS name").write.parquet(str(tmp_path / "files"))
     table = C.register_table(spark, f"{namespace}.ext", str(tmp_path / "files"))
     assert table.count() == 4
-    assert rows(C.describe_tables(spark, namespace)) == [
-        ("ext", 0, "id", "bigint"), ("ext", 1, "name", "string"),
-    ]
+    again = C.register_table(spark, f"{namespace}.ext", str(tmp_path / "files"))
+    assert again.count() == 4
+
+
+def test_registering_never_drops_a_managed_table(spark, namespace, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "files"))
+    C.publish_table(spark.range(3), f"{namespace}.own")
+    with pytest.raises(ValueError, match="MANAGED"):
+        C.register_table(spark, f"{namespace}.own", str(tmp_path / "files"))
+    assert spark.table(f"{namespace}.own").count() == 3
 
 
 def test_views(spark, namespace):

@@ -141,3 +141,22 @@ def test_pandas_frames_go_both_ways(spark):
     back = frame[frame["age"] > 30].to_spark()
     assert [tuple(r) for r in back.collect()] == [(96, 2, 106, "old")]
     assert df.select(F.avg("age")).first()[0] == 60.5
+
+
+def test_one_word_class_in_every_form(spark):
+    """Built-in, registered and table function against Python, in many scripts."""
+    import re
+
+    from tablewright.functions import registered, text as texts
+
+    samples = ["#हिन्दी #x² #½a #naïve", "#ж_1 #日本 # #é!", "no tags", "#١٢ #Ⅷ a#b##c", ""]
+    registered.register_functions(spark)
+    df = spark.createDataFrame(list(enumerate(samples)), "n int, text string")
+    df.createOrReplaceTempView("word_class_texts")
+    expected = sorted((n, tag) for n, sample in enumerate(samples) for tag in re.findall(r"#\w+", sample))
+    assert sorted(tuple(r) for r in texts.hashtags(df, "text").select("n", "hashtag").collect()) == expected
+    table = spark.sql(f"SELECT n, hashtag FROM word_class_texts, LATERAL {registered.HASHTAG_TABLE}(text)")
+    assert sorted(tuple(r) for r in table.collect()) == expected
+    words = df.select("n", texts.words("text", "regex").alias("w")).collect()
+    for n, found in words:
+        assert list(found) == re.findall(r"\b\w+(?: '\w+)*\b", samples[n].lower())

@@ -177,3 +177,16 @@ def test_no_edges_and_no_ratings(spark, rows):
     assert rows(G.bfs_distances(edges, 1)) == [(1, 0)]
     assert G.bfs(edges, 1, 2).count() == 0
     assert M.item_similarity(spark.createDataFrame([], RATINGS), "u", "i", "r").count() == 0
+
+
+def test_search_has_no_limit_unless_asked(spark, rows):
+    chain = spark.createDataFrame([(n, n + 1) for n in range(14)], "src long, dst long")
+    assert rows(G.bfs_distances(chain, 0)) == [(n, n) for n in range(15)]
+    alone = spark.createDataFrame([(3,), (99,)], "id long")
+    found = G.bfs_distances(chain, 0, 2, keep_unreached=True, vertices=alone)
+    assert {r[0]: r[1] for r in found.collect()} == {**{n: n if n < 3 else 9999 for n in range(15)}, 99: 9999}
+
+
+def test_blank_lines_are_no_vertices(spark, rows):
+    lines = spark.createDataFrame([("1 2 3",), ("",), ("  ",), ("7",)], "value string")
+    assert rows(G.degree(lines)) == [(1, 2), (7, 0)]

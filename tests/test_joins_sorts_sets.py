@@ -42,7 +42,7 @@ def test_lookup_default_and_repeated_keys(people, orders, spark, rows):
         (1, "Unknown"), (2, "Unknown"), (5, "Cy"), (10, "Ann"), (20, "Ann"),
     ]
     twice = people.unionByName(people)
-    assert J.lookup(orders, twice, "id", "name", "Unknown", unique=False).count() == 5
+    assert J.lookup(orders, twice, "id", "name", "Unknown").count() == 5
 
 
 def test_small_dimension_is_broadcast_by_size_not_by_force(spark, tmp_path):

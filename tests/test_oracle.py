@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, difference
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -15,16 +15,15 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, connection, name):
-    assert difference(entry.queries()[name], entry.oracle_sql()[name], spark, connection, FOLDER) in (
-        "",
-        "no rows",
-    )
+    query, sql = entry.queries()[name], entry.oracle_sql()[name]
+    assert difference(query, sql, spark, connection, FOLDER) == ""
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_suite_has_sql():
+    for module in entry.SUITE:
+        assert set(module.QUERIES) == set(module.ORACLE)
 
 
 def test_entry_has_rows_and_fixed_columns(spark):

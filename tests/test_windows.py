@@ -204,3 +204,53 @@ def test_a_hot_group_moves_once_and_in_blocks(spark):
     assert "Exchange hashpartitioning(_group" in text
     # One shuffle for ordinary groups, one for hot rows, and the block table's own.
     assert text.count("Exchange hashpartitioning") <= 5
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz", "double"])
+def test_results_do_not_depend_on_the_limit(spark, zone, kind):
+    """Text, dates, times with and without a zone, across both clock changes, with ties."""
+    ordered = {
+        "string": "concat('k', lpad(cast(t as string), 6, '0'))",
+        "date": "date_add(date'2024-03-01', cast(t / 6 as int))",
+        "timestamp": "timestamp_seconds(1709942400 + t * 1800)",
+        "timestamp_ntz": "timestampadd(MINUTE, cast(t * 30 as int), timestamp_ntz'2024-03-09 12:00:00')",
+        "double": "cast(t as double) / 7",
+    }[kind]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.range(150).selectExpr("cast(id % 3 as int) g", "cast(id / 3 as int) DIV 2 t", "id * 7 % 11 v", "id")
+        df = rows.selectExpr("g", f"{ordered} AS o", "v", "id").repartition(3)
+        calls = [
+            lambda limit: W.running_total(df, "g", "o", "v", hot_rows=limit),
+            lambda limit: W.previous_value(df, "g", "o", "v", hot_rows=limit),
+            lambda limit: W.delta(df, "g", "o", "v", hot_rows=limit),
+            lambda limit: W.moving_avg(df, "g", "o", "v", 4, hot_rows=limit),
+        ]
+        if kind.startswith("timestamp"):
+            calls.append(lambda limit: W.sessionize(df, "g", "o", 1799, hot_rows=limit))
+        for call in calls:
+            plain = sorted(map(tuple, call(None).collect()), key=lambda row: row[3])
+            assert sorted(map(tuple, call(40).collect()), key=lambda row: row[3]) == plain
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_gaps_of_zoneless_times_ignore_the_session_zone(spark):
+    times = spark.sql("SELECT 1 AS u, explode(array(timestamp_ntz'2024-03-10 01:45:00', timestamp_ntz'2024-03-10 03:10:00')) AS ts")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        found.append(sorted(row["session_num"] for row in W.sessionize(times, "u", "ts", 1800).collect()))
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == [[1, 2], [1, 2]]
+
+
+def test_one_outlier_does_not_void_the_blocks(spark):
+    df = spark.range(20_000).selectExpr(
+        "1 AS g", "CASE WHEN id = 0 THEN timestamp'1970-01-01' ELSE timestamp_seconds(1700000000 + id) END AS o", "id AS v"
+    )
+    _, heavy = W._with_blocks(df, ["g"], ["o"], 1000)
+    assert max(row["count"] for row in heavy.groupBy(W.BLOCK).count().collect()) < 2000
