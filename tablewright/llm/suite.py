@@ -81,9 +81,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdict of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    good = training_rows(docs, table(spark, folder, "labels"), "quality").filter("__label = 1")
-    ratios = quality_rules.likelihood_ratios(good, docs)
-    return quality_rules.judge(docs, ratios).drop("text")
+    labelled = training_rows(docs, table(spark, folder, "labels"), "quality")
+    ratios = quality_rules.likelihood_ratios(labelled.filter("__label = 1"), docs)
+    cut = quality_rules.learned_cut(labelled, ratios).first()["cut"]
+    return quality_rules.judge(docs, ratios, threshold=cut).drop("text")
 
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:

@@ -270,6 +270,52 @@ def test_quality_rules_without_trusted_or_any_text(edges, empty):
     assert quality_rules.judge(empty, quality_rules.likelihood_ratios(empty, empty)).count() == 0
 
 
+def test_learned_cut_rejects_held_out_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    known = training_rows(docs, labels, "quality")
+    ratios = quality_rules.likelihood_ratios(known.filter("__label = 1"), docs)
+    cut = quality_rules.learned_cut(known, ratios).first()["cut"]
+    rows = quality_rules.judge(docs, ratios, threshold=cut).join(labels, "doc_id").collect()
+    held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 and not r["base_failed"]]
+    bad = [row["kept"] for row in held if row["quality"] == 0]
+    good = [row["kept"] for row in held if row["quality"] == 1]
+    assert len(bad) > 50 and sum(bad) <= 0.05 * len(bad)
+    assert len(good) > 500 and sum(good) >= 0.98 * len(good)
+
+
+def test_learned_cut_against_plain_python(spark, docs):
+    texts = [row["text"] for row in docs.filter("length(text) > 600").orderBy("doc_id").limit(30).collect()]
+    rows = [(n, text, int(n % 3 > 0)) for n, text in enumerate(texts)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, __label int").repartition(3)
+    ratios = quality_rules.likelihood_ratios(known.filter("__label = 1"), known, buckets=512)
+    judged = quality_rules.judge(known, ratios, buckets=512).collect()
+    target = Counter(g for _, text, good in rows if good for g in plain_grams(text, 512))
+    total, found = sum(target.values()) + 512, []
+    for row in judged:
+        if not row["base_failed"]:
+            own, ratio = Counter(plain_grams(row["text"], 512)), row["ratio"]
+            if row["__label"]:
+                ratio += sum(n * math.log((target[b] - n + 1) / (target[b] + 1)) for b, n in own.items()) / own.total()
+                ratio += math.log(total / (total - own.total()))
+            found.append((ratio, row["__label"]))
+    found.sort()
+    cuts = [(sum(label == 0 for _, label in found), 0.0, -0.5)]
+    for n, ((a, _), (b, _)) in enumerate(zip(found, found[1:])):
+        errors = sum(label for _, label in found[: n + 1]) + sum(not label for _, label in found[n + 1 :])
+        cuts.append((errors, a - b, (a + b) / 2))
+    best = min(cuts)[2]
+    expected = min(best, found[0][0]) if best == -0.5 else best
+    assert quality_rules.learned_cut(known, ratios, buckets=512).first()["cut"] == pytest.approx(expected, abs=1e-5)
+
+
+def test_learned_cut_without_a_label(edges, empty):
+    ratios = quality_rules.likelihood_ratios(empty, edges)
+    for label in (0, 1):
+        known = edges.selectExpr("text", f"{label} as __label")
+        assert quality_rules.learned_cut(known, ratios).first()["cut"] == -0.5
+
+
 # Models
 
 
