@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
-    decontamination, language, mixing, near_dups, quality_model, quality_rules, sharding, token_files, toxicity, wrappers,
+    bpe_trie, conversation_trie, decontamination, language, mixing, near_dups, phrases, quality_model, quality_rules,
+    sharding, token_files, toxicity, wrappers,
 )
 from tablewright.llm.common import held_out, table, training_rows, utf8_crc32, word_count
 from tablewright.runtime import cut_lineage
@@ -108,6 +109,23 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_tokens(files).withColumnRenamed("key", "doc_id")
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """Best phrases of every language."""
+    found, totals = phrases.phrases(table(spark, folder, "documents"))
+    return phrases.best_phrases(found, totals)
+
+
+def op12_bpe_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Checksums of every document's ids, and of the text decoded from them."""
+    return bpe_trie.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    turns = conversation_trie.numbered_turns(table(spark, folder, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt(turns)).nodes.drop(*conversation_trie.KEY)
+
+
 def _position_sql() -> str:
     """First position of a document, from ``served``, in the operations of the operator."""
     cases = []
@@ -164,6 +182,39 @@ served AS (
 SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN {_position_sql()} END AS first_position
 FROM served"""
 
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (
+    SELECT lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+grams AS (
+  SELECT lang, k, unnest([list_slice(words, i, i + k - 1) FOR i IN range(1, len(words) - k + 2)]) AS gram
+  FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(words) >= k),
+counted AS (SELECT lang, k, gram, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a) AS n FROM counted WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT * FROM counted WHERE a >= 30),
+cuts AS (
+  SELECT p.lang, p.k, p.gram, p.a, c.cut, x.a AS l, y.a AS r, 2000000::HUGEINT * p.a // (x.a + y.a) AS score
+  FROM frequent p JOIN (VALUES (1), (2), (3)) AS c(cut) ON c.cut < p.k
+  JOIN frequent x ON x.lang = p.lang AND x.gram = p.gram[:c.cut]
+  JOIN frequent y ON y.lang = p.lang AND y.gram = p.gram[c.cut + 1:]),
+scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, cut) = 1),
+parts AS (
+  SELECT lang, gram[i:i + s - 1] AS gram, a
+  FROM frequent, (VALUES (2), (3)) AS sizes(s), (VALUES (1), (2), (3)) AS places(i)
+  WHERE s < k AND i + s - 1 <= k),
+covers AS (SELECT lang, gram, max(a) AS a FROM parts GROUP BY ALL),
+left_over AS (
+  SELECT s.*, array_to_string(s.gram, ' ') AS phrase
+  FROM scored s LEFT JOIN covers c ON c.lang = s.lang AND c.gram = s.gram
+  WHERE c.a IS NULL OR 100::HUGEINT * c.a < 80::HUGEINT * s.a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+JOIN totals USING (lang) WHERE rank <= 2000"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_wrappers": op2_wrappers,
@@ -175,7 +226,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_token_files": op10_token_files,
+    "op11_phrases": op11_phrases,
+    "op12_bpe_trie": op12_bpe_trie,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 # The other operators use hashes, trees, alignments or file formats that SQL lacks; the
 # tests compare them with plain Python.
-ORACLE: dict[str, str] = {"op7_mixing": MIXING_SQL}
+ORACLE: dict[str, str] = {"op7_mixing": MIXING_SQL, "op11_phrases": PHRASES_SQL}
