@@ -129,11 +129,11 @@ def test_hot_groups_along_numbers_with_every_special_value(spark, rows):
     assert rows(split, "amount", "running_total") == rows(plain, "amount", "running_total")
 
 
-def test_large_groups_along_text_are_refused(spark):
-    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "user string, ts string, amount int")
-    assert W.running_total(df, "user", "ts", "amount").count() == 2
-    with pytest.raises(TypeError):
-        W.running_total(df, "user", "ts", "amount", hot_rows=1)
+def test_hot_groups_along_text_order(spark, rows):
+    data = [("a", f"t{n * 7 % 30:02d}", n) for n in range(60)] + [("b", None, 1), ("b", "x", 2)]
+    df = spark.createDataFrame(data, "user string, ts string, amount int")
+    plain = W.running_total(df, "user", "ts", "amount", hot_rows=None)
+    assert rows(W.running_total(df, "user", "ts", "amount", hot_rows=1)) == rows(plain)
 
 
 def test_top_n_rows_and_ties(spark, rows):
