@@ -34,7 +34,8 @@ UNKNOWN = "und"
 
 SIDE = 256  # ids along a tile's side
 DENSE = SIDE * SIDE // 4  # pairs from which a tile is counted cell by cell
-BUFFER = 4 << 20  # pairs counted at a time
+BUFFER = 3 << 19  # pairs counted at a time
+SLICE = 2 << 20  # bytes of text cut into words at a time
 RANKED = 1 << 20  # items of a level that are sent to the tasks
 
 
@@ -83,9 +84,11 @@ def cut_words(texts: pa.Array, langs: pa.Array) -> Words:
     at = np.arange(len(data), dtype=np.int32)
     place = at - np.maximum.accumulate(np.where(starts, at, 0))
     codes = np.add.reduceat(VALUES[place & (PLACES - 1), data], begins)
-    stops = np.flatnonzero(inside & ~np.concatenate((inside[1:], [False])))
+    closes = inside.copy()
+    closes[:-1] &= ~inside[1:]
     later = first[first > 0] - 1
-    stops = np.union1d(stops, later[inside[later]]) + 1
+    closes[later] |= inside[later]
+    stops = np.flatnonzero(closes) + 1
     for word in np.flatnonzero(stops - begins > PLACES).tolist():
         codes[word] = xxhash.xxh3_64_intdigest(data[begins[word] : stops[word]].tobytes(), seed=1)
     owner = np.searchsorted(offsets, begins, side="right") - 1
@@ -183,7 +186,7 @@ def _neighbours(words: Words, levels: list[Level]) -> tuple[np.ndarray, ...]:
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, pa.Array]]:
     for batch in batches:
         begun = 0
-        for texts in pieces(batch.column(0)):
+        for texts in pieces(batch.column(0), SLICE):
             langs = batch.column(1).slice(begun, len(texts))
             begun += len(texts)
             yield cut_words(texts, langs), langs
@@ -228,28 +231,30 @@ def neighbour_counts(docs: DataFrame, levels: list[Broadcast]) -> DataFrame:
         tables = [level.value for level in levels]
         codes = tables[-1].codes
 
-        def counted(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-            ranks1, codes1, ranks2, codes2 = (np.concatenate(column) for column in zip(*held))
-            both = (ranks1 >= 0) & (ranks2 >= 0)
-            left, right, counts = tile_counts(ranks1[both], ranks2[both])
+        def counted(cells: list[np.ndarray], rest: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            cells = np.concatenate(cells)
+            left, right, counts = tile_counts(cells >> 32, cells & 0xFFFFFFFF)
             left, right = codes[left], codes[right]
-            if not both.all():
-                rest = np.rec.fromarrays([codes1[~both], codes2[~both]], names="l,r")
+            rest = np.concatenate(rest)
+            if len(rest):
                 others, more = np.unique(rest, return_counts=True)
                 left, right = np.concatenate((left, others["l"])), np.concatenate((right, others["r"]))
                 counts = np.concatenate((counts, more))
             columns = [pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(counts)]
             yield pa.RecordBatch.from_arrays(columns, names=["left", "right", "a"])
 
-        held, size = [], 0
+        cells, rest, size = [], [], 0
         for words, _ in _slices(batches):
-            held.append(_neighbours(words, tables))
-            size += len(held[-1][0])
+            ranks1, codes1, ranks2, codes2 = _neighbours(words, tables)
+            both = (ranks1 >= 0) & (ranks2 >= 0)
+            cells.append(ranks1[both] << 32 | ranks2[both])
+            rest.append(np.rec.fromarrays([codes1[~both], codes2[~both]], names="l,r"))
+            size += len(ranks1)
             if size >= BUFFER:
-                yield from counted(held)
-                held, size = [], 0
+                yield from counted(cells, rest)
+                cells, rest, size = [], [], 0
         if size:
-            yield from counted(held)
+            yield from counted(cells, rest)
 
     counted = docs.mapInArrow(run, "left long, right long, a long")
     return counted.groupBy("left", "right").agg(F.sum("a").alias("a"))
