@@ -47,6 +47,22 @@ def similar_items(spark, folder):
     return named
 
 
+def nearest_items(spark, folder):
+    """The three best neighbours of every supplier, over orders with both."""
+    found = M.nearest_items(_rounded_ratings(spark, folder), "l_orderkey", "l_suppkey", "rating", 3, 0.5, 3)
+    return _rounded(found)
+
+
+def similarity_above_limit(spark, folder):
+    """Pairs with more than three co-ratings, found without forming the others."""
+    return _rounded(M.pruned_similarity(_rounded_ratings(spark, folder), "l_orderkey", "l_suppkey", "rating", 3))
+
+
+def _rounded_ratings(spark, folder):
+    """Ratings of 1 to 3: many pairs tie, so ranks depend on the tie rule."""
+    return _ratings(spark, folder).withColumn("rating", F.floor(F.col("rating") % 3) + 1)
+
+
 # Lines of odd parts name a part that the table doesn't have.
 _SOLD = "CASE WHEN l_partkey % 2 = 1 THEN l_partkey + 1000000000 ELSE l_partkey END"
 
@@ -124,6 +140,8 @@ QUERIES = {
     "item_similarity_repeats": item_similarity_repeats,
     "item_similarity_blocked": item_similarity_blocked,
     "similar_items": similar_items,
+    "nearest_items": nearest_items,
+    "similarity_above_limit": similarity_above_limit,
     "popular_items": popular_items,
     "degree": degree,
     "degree_raw": degree_raw,
@@ -139,6 +157,10 @@ _RATINGS = (
     "ratings AS (SELECT l_orderkey AS u, l_suppkey AS i, CAST(max(l_quantity) AS BIGINT) AS r "
     "FROM lineitem GROUP BY 1, 2)"
 )
+_SMALL_RATINGS = (
+    "ratings AS (SELECT l_orderkey AS u, l_suppkey AS i, CAST(max(l_quantity) AS BIGINT) % 3 + 1 AS r "
+    "FROM lineitem GROUP BY 1, 2)"
+)
 _LINES = "ratings AS (SELECT l_orderkey AS u, l_suppkey AS i, CAST(l_quantity AS BIGINT) AS r FROM lineitem)"
 _COSINE = """
     SELECT a.i AS item1, b.i AS item2,
@@ -176,6 +198,13 @@ ORACLE = {
             WHERE (item1 = 1 OR item2 = 1) AND score > 0.5 AND num_pairs > 3) AS s
         LEFT JOIN supplier ON item = s_suppkey
         ORDER BY score DESC, num_pairs DESC, item LIMIT 10""",
+    "nearest_items": f"""WITH {_SMALL_RATINGS}, sims AS ({_COSINE}),
+        sides AS (SELECT item1 AS item, item2 AS neighbour, score, num_pairs FROM sims
+            UNION ALL SELECT item2, item1, score, num_pairs FROM sims)
+        SELECT * FROM (SELECT item, neighbour, row_number() OVER (
+            PARTITION BY item ORDER BY score DESC, num_pairs DESC, neighbour) AS rank, score, num_pairs
+            FROM sides WHERE score > 0.5 AND num_pairs > 3) AS t WHERE rank <= 3""",
+    "similarity_above_limit": f"WITH {_SMALL_RATINGS} {_COSINE} HAVING count(a.r * b.r) > 3",
     "popular_items": f"""SELECT t.sold AS l_partkey, count, coalesce(p_name, 'Unknown') AS p_name
         FROM (SELECT {_SOLD} AS sold, count(*) AS count FROM lineitem GROUP BY 1
               ORDER BY count(*) DESC, sold LIMIT 10) AS t

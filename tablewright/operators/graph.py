@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame
@@ -10,11 +11,18 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import min_ties, top_k
-from tablewright.runtime import cut_and_measure, cut_lineage
+from tablewright.operators.skew import GROUP_ROWS, hot_groups
+from tablewright.runtime import cut_and_measure, cut_in_buckets
 
 # Distance given to vertices that were not reached.
 UNREACHED = 9999
 
+# A vertex with more edges than this is worked on by several tasks.
+HUB_EDGES = 1_000_000
+
+# Vertices of recent rounds that are compared before they are put into buckets.
+RECENT_ROWS = 1_000_000
+
 
 def _tokens(column: str, raw: bool):
     if raw:
@@ -59,48 +67,114 @@ def least_connected(degrees: DataFrame, names: DataFrame, default: str = "Unknow
     return lookup(min_ties(degrees, "connections"), names, "id", "name", default)
 
 
-def _prepared(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """The two edge columns, written once because every round reads them."""
-    pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    return cut_lineage(pairs.filter("src IS NOT NULL AND dst IS NOT NULL"))
+class _Edges:
+    """Edges in buckets of their source: a round reads them where they lie.
+
+    Where a vertex owns more than ``hub_edges`` edges, the buckets are those of source and
+    share: its edges are dealt out over several shares by their target, and the vertex goes
+    to all of them.
+    """
+
+    def __init__(self, edges: DataFrame, src: str, dst: str, hub_edges: int, buckets: int):
+        pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+        pairs = pairs.filter("src IS NOT NULL AND dst IS NOT NULL")
+        hubs = hot_groups(pairs, ["src"], hub_edges)
+        self.hubs, self.keys = None, ["src"]
+        if hubs is not None:
+            shares = F.ceil(F.col(GROUP_ROWS) / F.lit(max(hub_edges, 1))).cast("long")
+            self.hubs, self.keys = hubs.select(F.col("src").alias("id"), shares.alias("shares")), ["src", "share"]
+            share = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("shares")), F.lit(0).cast("long"))
+            pairs = pairs.join(self.hubs, F.col("src") == F.col("id"), "left").select("src", share.alias("share"), "dst")
+        self.table = cut_in_buckets(pairs, buckets, *self.keys)
+
+    def ways_from(self, frontier: DataFrame) -> DataFrame:
+        """Vertices that edges from ``frontier`` (id) lead to, with the number of edges."""
+        ahead = frontier.select(F.col("id").alias("src"))
+        if self.hubs is not None:
+            last = F.coalesce("shares", F.lit(1).cast("long")) - 1
+            shares = F.explode(F.sequence(F.lit(0).cast("long"), last))
+            ahead = frontier.join(self.hubs, "id", "left").select(F.col("id").alias("src"), shares.alias("share"))
+        return self.table.join(ahead, self.keys).groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("ways"))
+
+
+class _Seen:
+    """Vertices met so far: recent rounds as they were written, older ones in buckets of id.
+
+    When the recent ones exceed ``recent_rows`` they are put into buckets, together with
+    every older table up to twice as large, so a vertex is moved a logarithmic number of
+    times and there are few tables. A round compares its hits with the tables in place.
+    """
+
+    def __init__(self, first: DataFrame, buckets: int, recent_rows: int):
+        self.buckets, self.recent_rows = buckets, recent_rows
+        self.recent, self.rows = [first], 1
+        self.old: list[tuple[int, DataFrame]] = []
+
+    def add(self, frontier: DataFrame, rows: int) -> None:
+        self.recent.append(frontier)
+        self.rows += rows
+        if self.rows <= self.recent_rows:
+            return
+        tables, rows = self.recent, self.rows
+        while self.old and self.old[-1][0] <= 2 * rows:
+            size, table = self.old.pop()
+            tables, rows = [table, *tables], rows + size
+        self.old.append((rows, cut_in_buckets(reduce(DataFrame.unionByName, tables), self.buckets, "id")))
+        self.recent, self.rows = [], 0
+
+    def tables(self) -> list[DataFrame]:
+        recent = [reduce(DataFrame.unionByName, self.recent)] if self.recent else []
+        return [table for _, table in self.old] + recent
+
+    def all(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.tables())
+
+    def mark(self, hits: DataFrame) -> DataFrame:
+        """``hits`` with ``fresh``: whether a vertex was not seen before."""
+        fresh = F.lit(True)
+        for number, table in enumerate(self.tables()):
+            known = table.select("id", F.lit(True).alias(f"_known{number}"))
+            hits = hits.join(known, "id", "left")
+            fresh = fresh & F.col(f"_known{number}").isNull()
+        return hits.select("id", "ways", fresh.alias("fresh"))
 
 
 def _rounds(
-    edges: DataFrame, start: object, max_depth: int | None, target: object = None
-) -> Iterator[tuple[int, int, DataFrame]]:
+    edges: _Edges, start: object, max_depth: int | None, buckets: int, recent_rows: int, target: object = None
+) -> Iterator[tuple[int, int, _Seen]]:
     """Breadth-first rounds as (depth, ways into the target, vertices seen so far).
 
-    Each round joins the frontier with the edges and adds the hits up per vertex
-    before they move; a vertex in reach of very many edges costs one row per task.
-    The round is written down, and one row about it reaches the driver. By the size
-    of those files Spark sends a small frontier to the edges and shuffles a large one.
+    A round sends its frontier to the edges' buckets and the hits, added up per vertex
+    before they move, to those of the vertices seen; edges and old vertices stay where
+    they are. The round is written down, and one row about it reaches the driver. By
+    the size of those files Spark sends a small frontier to all tasks instead.
     """
-    kind = edges.schema["src"].dataType
-    frontier = seen = edges.sparkSession.range(1).select(
+    kind = edges.table.schema["src"].dataType
+    frontier = edges.table.sparkSession.range(1).select(
         F.lit(start).cast(kind).alias("id"), F.lit(0).alias("distance")
     )
+    seen = _Seen(frontier, buckets, recent_rows)
     for depth in count(1):
         if max_depth is not None and depth > max_depth:
             return
-        ahead = frontier.select(F.col("id").alias("src"))
-        hits = edges.join(ahead, "src").groupBy(F.col("dst").alias("id")).agg(
-            F.count(F.lit(1)).alias("ways")
-        )
-        known = seen.select("id", F.lit(True).alias("_known"))
-        fresh = F.col("_known").isNull().alias("fresh")
         reached, state = cut_and_measure(
-            hits.join(known, "id", "left").select("id", "ways", fresh),
+            seen.mark(edges.ways_from(frontier)),
             found=F.count(F.when(F.col("fresh"), 1)),
             ways=F.sum(F.when(F.col("id") == F.lit(target), F.col("ways"))),
         )
         frontier = reached.filter("fresh").select("id", F.lit(depth).alias("distance"))
         if state["found"]:
-            seen = seen.unionByName(frontier)
+            seen.add(frontier, state["found"])
         yield depth, state["ways"] or 0, seen
         if not state["found"]:
             return
 
 
+def _buckets(df: DataFrame) -> int:
+    """As many buckets as a shuffle has partitions, so that both fit together."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def bfs_distances(
     edges: DataFrame,
     start: object,
@@ -109,20 +183,26 @@ def bfs_distances(
     dst: str = "dst",
     keep_unreached: bool = False,
     vertices: DataFrame | None = None,
+    hub_edges: int = HUB_EDGES,
+    recent_rows: int = RECENT_ROWS,
 ) -> DataFrame:
     """Distance in directed edges from ``start``, until nothing new is reached.
 
     ``max_depth`` ends the search earlier. With ``keep_unreached`` the other vertices
     follow at distance 9999: those of the edges, and of the one-column table ``vertices``,
-    which may list vertices without edges.
+    which may list vertices without edges. Vertices with more than ``hub_edges`` edges are
+    worked on by several tasks; ``recent_rows`` vertices are compared before they are put
+    into buckets. Neither changes the result.
     """
-    edges = _prepared(edges, src, dst)
-    reached = None
-    for _, _, reached in _rounds(edges, start, max_depth):
+    buckets = _buckets(edges)
+    laid = _Edges(edges, src, dst, hub_edges, buckets)
+    seen = None
+    for _, _, seen in _rounds(laid, start, max_depth, buckets, recent_rows):
         pass
+    reached = seen.all() if seen else None
     if not keep_unreached:
         return reached
-    every = edges.select(F.col("src").alias("id")).union(edges.select("dst"))
+    every = laid.table.select(F.col("src").alias("id")).union(laid.table.select("dst"))
     if vertices is not None:
         every = every.union(vertices.select(F.col(vertices.columns[0]).cast(every.schema["id"].dataType)))
     rest = every.filter("id IS NOT NULL").distinct().join(reached, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
@@ -136,15 +216,18 @@ def bfs(
     max_depth: int | None = None,
     src: str = "src",
     dst: str = "dst",
+    hub_edges: int = HUB_EDGES,
+    recent_rows: int = RECENT_ROWS,
 ) -> DataFrame:
     """First round in which a frontier edge points at ``target``.
 
     One row ``(distance, directions)``, where directions counts those edges, or
     no row when the target is not met.
     """
-    edges = _prepared(edges, src, dst)
+    buckets = _buckets(edges)
+    laid = _Edges(edges, src, dst, hub_edges, buckets)
     found = []
-    for depth, ways, _ in _rounds(edges, start, max_depth, target):
+    for depth, ways, _ in _rounds(laid, start, max_depth, buckets, recent_rows, target):
         if ways:
             found.append((depth, ways))
             break

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import top_k
 from tablewright.operators.skew import GROUP_ID, GROUP_ROWS, hot_groups, split_hot
+from tablewright.operators.windows import top_n_per_group
 from tablewright.runtime import cut_lineage
 
 # Users with more items than this are worked on by several tasks.
@@ -37,24 +38,15 @@ _MOMENTS = ["n", "n_rated", "total", "squares"]
 
 
 def _side(moments: DataFrame, number: int, keys: list[str]) -> DataFrame:
+    carried = [name for name in _MOMENTS if name in moments.columns]
     return moments.select(
         *keys, F.col("item").alias(f"item{number}"),
-        *(F.col(name).alias(f"{name}{number}") for name in _MOMENTS),
+        *(F.col(name).alias(f"{name}{number}") for name in carried),
     )
 
 
-def item_pairs(
-    ratings: DataFrame, user: str, item: str, value: str, items_per_task: int = ITEMS_PER_TASK
-) -> DataFrame:
-    """Items rated by the same user, each unordered pair once (item1 < item2).
-
-    The rows are meant to flow straight into ``cosine_similarity``, whose
-    map-side step adds them up in the task that makes them, so they are neither
-    stored nor shuffled. A user with many items is cut into blocks of items;
-    each task then pairs one block with one other. The combined ratings are written
-    down first, as both sides of the join and the search for such users read them.
-    """
-    moments = cut_lineage(rating_moments(ratings, user, item, value))
+def _paired(moments: DataFrame, items_per_task: int) -> DataFrame:
+    """Each user's items in pairs (item1 < item2); read twice, so it should be written down."""
     crowded = hot_groups(moments, ["user"], items_per_task)
     if crowded is None:
         left, right = _side(moments, 1, ["user"]), _side(moments, 2, ["user"])
@@ -74,11 +66,100 @@ def item_pairs(
     return plain.drop("user").unionByName(split).filter("item1 < item2")
 
 
+def item_pairs(
+    ratings: DataFrame, user: str, item: str, value: str, items_per_task: int = ITEMS_PER_TASK
+) -> DataFrame:
+    """Items rated by the same user, each unordered pair once (item1 < item2).
+
+    The rows are meant to flow straight into ``cosine_similarity``, whose
+    map-side step adds them up in the task that makes them, so they are neither
+    stored nor shuffled. A user with many items is cut into blocks of items;
+    each task then pairs one block with one other. The combined ratings are written
+    down first, as both sides of the join and the search for such users read them.
+    """
+    moments = cut_lineage(rating_moments(ratings, user, item, value))
+    return _paired(moments, items_per_task)
+
+
+def candidate_pairs(moments: DataFrame, min_pairs: int, items_per_task: int = ITEMS_PER_TASK) -> DataFrame:
+    """Item pairs (item1, item2) that may have more than ``min_pairs`` co-ratings.
+
+    Such items share at least t users, where a user who rated both counts for the square
+    of the most ratings that anyone gave one item. All users are put in one order, those of
+    few items first, and of an item's users the last t - 1 are left aside: two items that
+    share t users share one of the others. So users of very many items, who come last,
+    form next to no pairs, and items of fewer than t users none. No pair is lost.
+    """
+    rated = moments.filter("n_rated > 0").select("user", "item", "n_rated")
+    most = rated.agg(F.max("n_rated")).first()[0] or 1
+    shared = min_pairs // most**2 + 1
+    if shared > 1:
+        enough = rated.groupBy("item").agg(F.count(F.lit(1)).alias("_users")).filter(F.col("_users") >= shared)
+        rated = rated.join(enough.select("item"), "item", "left_semi")
+        busy = rated.groupBy("user").agg(F.count(F.lit(1)).alias("_items"))
+        ordered = cut_lineage(rated.select("user", "item").join(busy, "user"))
+        last = top_n_per_group(ordered, "item", ["-_items", "-user"], shared - 1).select("item", "user")
+        rated = ordered.join(last, ["item", "user"], "left_anti")
+    return _paired(cut_lineage(rated.select("user", "item")), items_per_task).distinct()
+
+
+def pruned_similarity(
+    ratings: DataFrame, user: str, item: str, value: str, min_pairs: int, items_per_task: int = ITEMS_PER_TASK
+) -> DataFrame:
+    """``item_similarity`` of the pairs with more than ``min_pairs`` (0 or more) co-ratings.
+
+    The same rows, without forming all pairs: candidates come from ``candidate_pairs``, and
+    each is worked out over the users of whichever of its items has fewer.
+    """
+    moments = cut_lineage(rating_moments(ratings, user, item, value))
+    pairs = candidate_pairs(moments, min_pairs, items_per_task)
+    sizes = moments.groupBy("item").agg(F.count(F.lit(1)).alias("_users"))
+    sized = pairs.join(sizes.toDF("item1", "_users1"), "item1").join(sizes.toDF("item2", "_users2"), "item2")
+    swapped = F.col("_users1") > F.col("_users2")
+    few, many = F.when(swapped, F.col("item2")).otherwise(F.col("item1")), F.when(swapped, F.col("item1")).otherwise(F.col("item2"))
+    turned = sized.select(swapped.alias("_swapped"), few.alias("_few"), many.alias("_many"))
+    a = moments.select("user", F.col("item").alias("_few"), *(F.col(name).alias(f"_a_{name}") for name in _MOMENTS))
+    b = moments.select("user", F.col("item").alias("_many"), *(F.col(name).alias(f"_b_{name}") for name in _MOMENTS))
+    met = turned.join(a, "_few").join(b, ["_many", "user"])
+
+    def side(number: int, name: str, first: str, second: str):
+        first, second = (first, second) if number == 1 else (second, first)
+        return F.when(F.col("_swapped"), F.col(second)).otherwise(F.col(first)).alias(f"{name}{number}")
+
+    columns = [side(number, "item", "_few", "_many") for number in (1, 2)]
+    columns += [side(number, name, f"_a_{name}", f"_b_{name}") for name in _MOMENTS for number in (1, 2)]
+    return cosine_similarity(met.select(*columns), min_pairs)
+
+
+def nearest_items(
+    ratings: DataFrame,
+    user: str,
+    item: str,
+    value: str,
+    k: int = 10,
+    min_score: float = 0.97,
+    min_pairs: int = 50,
+) -> DataFrame:
+    """Every item's k best neighbours: (item, neighbour, rank, score, num_pairs).
+
+    Limits are strict, as in ``similar_items``; of equal scores the one with more
+    co-ratings, then the smaller item, comes first.
+    """
+    found = cut_lineage(pruned_similarity(ratings, user, item, value, min_pairs).filter(F.col("score") > min_score))
+    sides = ["score", "num_pairs"]
+    both = found.select(F.col("item1").alias("item"), F.col("item2").alias("neighbour"), *sides).unionByName(
+        found.select(F.col("item2").alias("item"), F.col("item1").alias("neighbour"), *sides)
+    )
+    best = top_n_per_group(both, "item", ["-score", "-num_pairs", "neighbour"], k)
+    return best.select("item", "neighbour", F.col("rank").cast("long").alias("rank"), *sides)
+
+
 def pairs_with(
     ratings: DataFrame, user: str, item: str, value: str, wanted: object
 ) -> DataFrame:
     """The pairs one item takes part in: its raters joined with all they rated."""
-    moments = rating_moments(ratings, user, item, value)
+    raters = ratings.filter((F.col(item) == F.lit(wanted)) & F.col(user).isNotNull()).select(user).distinct()
+    moments = rating_moments(ratings.join(raters, user, "left_semi"), user, item, value)
     chosen = F.col("item") == F.lit(wanted)
     mine = _side(moments.filter(chosen), 1, ["user"])
     others = _side(moments.filter(~chosen), 2, ["user"])
@@ -120,7 +201,12 @@ def item_similarity(
     only: object = None,
     items_per_task: int = ITEMS_PER_TASK,
 ) -> DataFrame:
-    """Cosine similarity of all co-rated item pairs, or of those with item ``only``."""
+    """Cosine similarity of all co-rated item pairs, or of those with item ``only``.
+
+    With ``min_pairs``, pairs that cannot have more co-ratings are never formed.
+    """
+    if only is None and min_pairs is not None and min_pairs >= 0:
+        return pruned_similarity(ratings, user, item, value, min_pairs, items_per_task)
     if only is None:
         pairs = item_pairs(ratings, user, item, value, items_per_task)
     else:

@@ -49,6 +49,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return cut_and_measure(df)[0]
 
 
+def cut_in_buckets(df: DataFrame, buckets: int, *keys: str) -> DataFrame:
+    """Write a result to the shared folder in hash buckets of ``keys`` and go on from the files.
+
+    A later join on exactly these keys reads the buckets in place and shuffles the other
+    side only, provided that ``spark.sql.shuffle.partitions`` equals ``buckets``. One
+    task writes one bucket, so a key must not own more rows than a task can hold. The
+    catalog knows the layout while the table is opened; its entry is removed at once,
+    the files stay in the shared folder.
+    """
+    spark, name = df.sparkSession, f"spark_catalog.default.step_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.format("parquet").bucketBy(buckets, *keys)
+    writer.option("path", scratch_path(spark, "step")).saveAsTable(name)
+    opened = spark.table(name)
+    opened.schema  # resolved before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return opened
+
+
 def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict[str, object]]:
     """``cut_lineage`` plus aggregates of the written rows, taken by the same job."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "step")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import defaultdict, deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.operators import graph as G
 from tablewright.operators import similarity as M
+from tests.conftest import plan_text
 
 RATINGS = "u int, i int, r int"
 
@@ -190,3 +193,90 @@ def test_search_has_no_limit_unless_asked(spark, rows):
 def test_blank_lines_are_no_vertices(spark, rows):
     lines = spark.createDataFrame([("1 2 3",), ("",), ("  ",), ("7",)], "value string")
     assert rows(G.degree(lines)) == [(1, 2), (7, 0)]
+
+
+# Search over edges in buckets
+
+
+def web(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(150)] + [(0, n) for n in range(60, 400)]
+    edges += [(n, n % 50) for n in range(60, 400, 7)] + [(None, 1), (1, None), (3, 3)]
+    return spark.createDataFrame(edges, "src long, dst long")
+
+
+@pytest.mark.parametrize("options", [{"hub_edges": 4}, {"recent_rows": 1}, {"hub_edges": 30, "recent_rows": 20}])
+def test_search_does_not_depend_on_how_edges_and_vertices_are_kept(spark, rows, options):
+    edges = web(spark)
+    pairs = [tuple(row) for row in edges.collect() if None not in tuple(row)]
+    found = {row["id"]: row["distance"] for row in G.bfs_distances(edges, 5, **options).collect()}
+    assert found == brute_search(pairs, 5, 99)
+    before = found[61] - 1
+    assert rows(G.bfs(edges, 5, 61, **options)) == [(found[61], sum(b == 61 and found.get(a) == before for a, b in pairs))]
+
+
+def exchanges(df):
+    df.collect()
+    return re.findall(r"Exchange (\w+)\(([^)]*)", plan_text(df).split("== Initial Plan ==")[0])
+
+
+def test_a_round_moves_its_frontier_and_hits_only(spark):
+    edges = web(spark).repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    try:
+        laid = G._Edges(edges, "src", "dst", 10_000, 8)
+        seen = G._Seen(spark.range(1).select("id", F.lit(0).alias("distance")), 8, 2)
+        seen.add(spark.range(1, 4).select("id", F.lit(1).alias("distance")), 3)
+        seen.add(spark.range(4, 5).select("id", F.lit(2).alias("distance")), 1)
+        assert [size for size, _ in seen.old] == [4] and seen.rows == 1
+        frontier = spark.range(4, 5)
+        hits = laid.ways_from(frontier)
+        # One exchange for the frontier, one for the hits; none for the edges.
+        assert len(exchanges(hits)) == 2
+        # The recent vertices move, the old ones in buckets do not.
+        assert len(exchanges(seen.mark(hits))) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+# Pairs above a co-rating count
+
+
+def crowd():
+    rng = random.Random(8)
+    data = [("all", item, 1 + item % 5) for item in range(120)]
+    data += [(f"u{user}", rng.randrange(40), rng.randrange(1, 6)) for user in range(60) for _ in range(12)]
+    data += [("twice", 1, 2), ("twice", 1, 3), ("twice", 2, 4), (None, 1, 1), ("u1", None, 1), ("u2", 3, None), ("none", 3, None)]
+    return data
+
+
+@pytest.mark.parametrize("min_pairs", [0, 1, 3, 6, 500])
+@pytest.mark.parametrize("items_per_task", [5_000, 4])
+def test_pruned_similarity_equals_the_full_one(spark, rows, min_pairs, items_per_task):
+    data = crowd() if min_pairs > 1 else crowd()[60:260]
+    df = spark.createDataFrame(data, "u string, i int, r int")
+    full = M.cosine_similarity(M.item_pairs(df, "u", "i", "r"), min_pairs)
+    pruned = M.pruned_similarity(df, "u", "i", "r", min_pairs, items_per_task)
+    assert [(a, b, round(s, 9), n) for a, b, s, n in rows(pruned)] == [(a, b, round(s, 9), n) for a, b, s, n in rows(full)]
+
+
+def test_a_user_of_very_many_items_forms_no_pairs(spark):
+    data = [("all", item, 1) for item in range(50_000)]
+    data += [(f"u{user}", item, 1 + user % 3) for user in range(30) for item in range(user % 4, 24, 2)]
+    moments = M.rating_moments(spark.createDataFrame(data, RATINGS.replace("u int", "u string")), "u", "i", "r")
+    found = M.candidate_pairs(moments, 4)
+    assert found.count() <= 24 * 23 / 2  # 1,249,975,000 pairs without the filter
+
+
+def test_nearest_items(spark, rows):
+    df = spark.createDataFrame(crowd(), "u string, i int, r int")
+    sims = [r for r in M.item_similarity(df, "u", "i", "r", min_pairs=3).collect() if r["score"] > 0.5]
+    best = defaultdict(list)
+    for r in sims:
+        best[r["item1"]].append((-r["score"], -r["num_pairs"], r["item2"]))
+        best[r["item2"]].append((-r["score"], -r["num_pairs"], r["item1"]))
+    wanted = [(item, near, n + 1) for item, found in best.items() for n, (_, _, near) in enumerate(sorted(found)[:2])]
+    found = M.nearest_items(df, "u", "i", "r", k=2, min_score=0.5, min_pairs=3)
+    assert rows(found, "item", "neighbour", "rank") == sorted(wanted)
