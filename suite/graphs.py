@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from suite.tables import as_long, table
 from tablewright.operators import graph as G
 from tablewright.operators import similarity as M
+from tablewright.runtime import scratch_path
+from tablewright.sinks.files import write_parquet
 
 
 def _ratings(spark, folder):
@@ -63,6 +65,14 @@ def _rounded_ratings(spark, folder):
     return _ratings(spark, folder).withColumn("rating", F.floor(F.col("rating") % 3) + 1)
 
 
+def similarity_stored(spark, folder):
+    """All pairs written once; the neighbours of item 1 come from the files."""
+    path = scratch_path(spark, "similarities")
+    write_parquet(item_similarity(spark, folder), path)
+    best = M.similar_items(spark.read.parquet(path), 1, min_score=0.5, min_pairs=3, k=10)
+    return M.lookup(best, table(spark, folder, "supplier"), "item", "s_name", "unknown", dim_key="s_suppkey")
+
+
 # Lines of odd parts name a part that the table doesn't have.
 _SOLD = "CASE WHEN l_partkey % 2 = 1 THEN l_partkey + 1000000000 ELSE l_partkey END"
 
@@ -142,6 +152,7 @@ QUERIES = {
     "similar_items": similar_items,
     "nearest_items": nearest_items,
     "similarity_above_limit": similarity_above_limit,
+    "similarity_stored": similarity_stored,
     "popular_items": popular_items,
     "degree": degree,
     "degree_raw": degree_raw,
@@ -226,3 +237,4 @@ ORACLE = {
         JOIN edges AS e ON e.dst = t.id JOIN reached AS r ON r.id = e.src AND r.distance = t.distance - 1
         WHERE t.id = 2 GROUP BY 1""",
 }
+ORACLE["similarity_stored"] = ORACLE["similar_items"]

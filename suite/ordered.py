@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from suite.tables import as_double, as_long, cents, from_cents, money, table
 from tablewright.operators import windows as W
+from tablewright.operators.ordering import with_position
 
 # Small enough that every user of the test tables counts as hot and is cut into blocks.
 BLOCKED = 80
@@ -35,6 +36,29 @@ def top_per_group_ties(spark, folder):
     return best.withColumns(as_long("c_nationkey", "rank"))
 
 
+def top_per_group_many(spark, folder):
+    """More rows per group than Spark cuts to before the shuffle, groups in blocks."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    best = W.top_n_per_group(
+        orders, "o_orderpriority", ["-o_totalprice", "o_orderkey"], 1500, hot_rows=1000
+    )
+    return best.withColumns(as_long("rank"))
+
+
+def top_per_group_many_ties(spark, folder):
+    """Prices in ten thousands tie often, also at the last rank."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderpriority", F.floor(F.col("o_totalprice") / 10000).alias("price")
+    )
+    best = W.top_n_per_group(orders, "o_orderpriority", ["-price"], 1001, ties="rank", hot_rows=500)
+    return best.withColumns(as_long("rank"))
+
+
+def sort_all_position(spark, folder):
+    customers = _customers(spark, folder).withColumn("c_acctbal", F.floor(F.col("c_acctbal") / 100))
+    return with_position(customers.withColumns(as_long("c_nationkey")), ["-c_acctbal", "c_custkey"]).withColumns(as_long("position"))
+
+
 def running_total(spark, folder):
     return W.running_total(_events(spark, folder), "user_id", "ts", "value").withColumns(
         from_cents("value", "running_total")
@@ -97,6 +121,9 @@ def sessionize_blocked(spark, folder):
 QUERIES = {
     "top_per_group": top_per_group,
     "top_per_group_ties": top_per_group_ties,
+    "top_per_group_many": top_per_group_many,
+    "top_per_group_many_ties": top_per_group_many_ties,
+    "sort_all_position": sort_all_position,
     "running_total": running_total,
     "running_total_ties": running_total_ties,
     "running_total_blocked": running_total_blocked,
@@ -134,6 +161,15 @@ ORACLE = {
         CAST(floor(c_acctbal / 1000) AS BIGINT) AS c_acctbal,
         rank() OVER (PARTITION BY c_nationkey ORDER BY floor(customer.c_acctbal / 1000) DESC) AS rank
         FROM customer QUALIFY rank <= 2""",
+    "top_per_group_many": """SELECT o_orderkey, o_orderpriority, o_totalprice,
+        row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rank
+        FROM orders QUALIFY rank <= 1500""",
+    "top_per_group_many_ties": """SELECT o_orderkey, o_orderpriority, CAST(floor(o_totalprice / 10000) AS BIGINT) AS price,
+        rank() OVER (PARTITION BY o_orderpriority ORDER BY floor(o_totalprice / 10000) DESC) AS rank
+        FROM orders QUALIFY rank <= 1001""",
+    "sort_all_position": """SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+        CAST(floor(c_acctbal / 100) AS BIGINT) AS c_acctbal,
+        row_number() OVER (ORDER BY floor(customer.c_acctbal / 100) DESC, c_custkey) AS position FROM customer""",
     "running_total": _RUNNING,
     "running_total_ties": f"""SELECT event_id, user_id, CAST(ts AS DATE) AS day,
         CAST({_V} AS DOUBLE) AS value,

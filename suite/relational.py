@@ -132,6 +132,15 @@ def join_partitioned(spark, folder):
     return J.inner_join(_customers(spark, folder), _placed_orders(spark, folder), "c_custkey", 16)
 
 
+_ONE_BUYER = "CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END"
+
+
+def join_partitioned_hot(spark, folder):
+    """A third of all orders belongs to one customer."""
+    orders = table(spark, folder, "orders").selectExpr(f"{_ONE_BUYER} AS c_custkey", "o_orderkey", "o_totalprice")
+    return J.inner_join(_customers(spark, folder), orders, "c_custkey", 16)
+
+
 def join_left(spark, folder):
     return J.left_join(_customers(spark, folder), _placed_orders(spark, folder), "c_custkey")
 
@@ -199,6 +208,26 @@ def collect_values(spark, folder):
     return lists.select("p_brand", "chunk", joined.alias("sizes"))
 
 
+def collect_values_chunks(spark, folder):
+    """Keys with many values, in chunks of a thousand."""
+    lists = A.collect_values(table(spark, folder, "lineitem"), "l_returnflag", "l_suppkey", "suppliers", 1000)
+    joined = F.array_join(F.transform("suppliers", lambda key: key.cast("string")), ",")
+    return lists.select("l_returnflag", "chunk", joined.alias("suppliers"))
+
+
+def exact_quantiles(spark, folder):
+    """Quartiles and tails of a column that ties often, and of one that hardly does."""
+    lines = table(spark, folder, "lineitem").select("l_quantity", cents("l_extendedprice").alias("price"))
+    shares = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    tied = A.exact_quantiles(lines, "l_quantity", shares).select(F.lit("quantity").alias("column"), "share", F.col("value").cast("double"))
+    rare = A.exact_quantiles(lines, "price", shares, hot_rows=1000).withColumns(from_cents("value"))
+    return tied.unionByName(rare.select(F.lit("price").alias("column"), "share", "value"))
+
+
+def value_histogram_position(spark, folder):
+    return O.with_position(A.value_histogram(table(spark, folder, "lineitem"), "l_quantity"), ["-count", "l_quantity"]).withColumns(as_long("position"))
+
+
 def value_histogram(spark, folder):
     return A.value_histogram(table(spark, folder, "lineitem"), "l_quantity")
 
@@ -339,6 +368,26 @@ def spend_by_customer(spark, folder):
     return reports.spend_by_customer(orders, "o_custkey", "price").withColumns(from_cents("total"))
 
 
+_PEOPLE = [
+    "c_name AS name",
+    "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(18 + c_custkey * 13 % 60 AS INT) END AS age",
+    "c_mktsegment AS city",
+]
+
+
+def people(spark, folder):
+    """Repeated people removed, missing ages filled with the mean, the young left out."""
+    listed = table(spark, folder, "customer").selectExpr(*_PEOPLE)
+    once = R.distinct_rows(listed.unionByName(listed.filter("age > 40 OR age IS NULL")))
+    return R.impute_mean(once, "age").filter("age > 30").withColumns(as_long("age"))
+
+
+def spend_by_customer_position(spark, folder):
+    orders = table(spark, folder, "orders").select("o_custkey", cents("o_totalprice").alias("price"))
+    placed = O.with_position(reports.spend_by_customer(orders, "o_custkey", "price"), ["-total", "o_custkey"])
+    return placed.withColumns(from_cents("total") | as_long("position"))
+
+
 def extreme_by_key(spark, folder):
     events = table(spark, folder, "events")
     kind = F.col("event_type").isin("click", "view")
@@ -435,6 +484,8 @@ ORACLE = {
     "explode_list": "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part",
     "join_inner": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_PLACED} USING (c_custkey)",
     "join_partitioned": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN {_PLACED} USING (c_custkey)",
+    "join_partitioned_hot": f"""SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer
+        JOIN (SELECT {_ONE_BUYER} AS c_custkey, o_orderkey, o_totalprice FROM orders) AS o USING (c_custkey)""",
     "join_left": f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN {_PLACED} USING (c_custkey)",
     "join_anti": f"SELECT c_custkey, c_name FROM customer ANTI JOIN {_PLACED} USING (c_custkey)",
     "join_chain": """SELECT o_orderkey, c_custkey, c_name || ' ' || c_mktsegment AS customer_name, n_name
@@ -455,6 +506,20 @@ ORACLE = {
     "collect_values": """SELECT p_brand, CAST(0 AS BIGINT) AS chunk,
         string_agg(CAST(p_size AS VARCHAR), ',' ORDER BY p_size) AS sizes
         FROM (SELECT DISTINCT p_brand, p_size FROM part) AS d GROUP BY 1""",
+    "collect_values_chunks": """SELECT l_returnflag, place // 1000 AS chunk,
+        string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY place) AS suppliers
+        FROM (SELECT l_returnflag, l_suppkey,
+            row_number() OVER (PARTITION BY l_returnflag ORDER BY l_suppkey) - 1 AS place FROM lineitem) AS t
+        GROUP BY 1, 2""",
+    "exact_quantiles": """WITH shares AS (SELECT unnest([0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]) AS share),
+        ranked AS (SELECT 'quantity' AS "column", CAST(l_quantity AS DOUBLE) AS value,
+                row_number() OVER (ORDER BY l_quantity) AS place, count(*) OVER () AS n FROM lineitem
+            UNION ALL SELECT 'price', CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS DOUBLE),
+                row_number() OVER (ORDER BY CAST(l_extendedprice AS DECIMAL(18, 2))), count(*) OVER () FROM lineitem)
+        SELECT "column", CAST(share AS DOUBLE) AS share, value FROM ranked, shares
+        WHERE place = greatest(1, ceil(share * n))""",
+    "value_histogram_position": """SELECT l_quantity, count(*) AS count,
+        row_number() OVER (ORDER BY count(*) DESC, l_quantity) AS position FROM lineitem GROUP BY 1""",
     "value_histogram": "SELECT l_quantity, count(*) AS count FROM lineitem GROUP BY 1",
     "global_reduce": f"""SELECT CAST(sum({_LINE_PRICE}) AS DOUBLE) AS total,
         CAST(max({_LINE_PRICE}) AS DOUBLE) AS high, CAST(min({_LINE_PRICE}) AS DOUBLE) AS low,
@@ -491,6 +556,11 @@ ORACLE = {
     "format_label": """SELECT p_partkey, 'Name: ' || p_name || ', Age: ' ||
         coalesce(CAST(nullif(p_size, 7) AS VARCHAR), 'None') AS label FROM part""",
     "spend_by_customer": f"SELECT o_custkey, CAST(sum({_PRICE}) AS DOUBLE) AS total FROM orders GROUP BY 1",
+    "people": f"""WITH p AS (SELECT DISTINCT {', '.join(_PEOPLE)} FROM customer),
+        filled AS (SELECT name, coalesce(age, (SELECT round(avg(age)) FROM p)) AS age, city FROM p)
+        SELECT name, CAST(age AS BIGINT) AS age, city FROM filled WHERE age > 30""",
+    "spend_by_customer_position": f"""SELECT o_custkey, CAST(sum({_PRICE}) AS DOUBLE) AS total,
+        row_number() OVER (ORDER BY sum({_PRICE}) DESC, o_custkey) AS position FROM orders GROUP BY 1""",
     "extreme_by_key": """SELECT user_id, min(value) AS low, max(value) AS high FROM events
         WHERE event_type IN ('click', 'view') GROUP BY 1""",
     "segment_totals_by_city": f"SELECT city, CAST(sum(amount) AS DOUBLE) AS total_spendings {_SEGMENT} GROUP BY 1",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from suite.tables import as_double, dirty, dirty_sql, money, table
 from tablewright.plans import retail
 from tablewright.runtime import scratch_path
+from tablewright.sinks.files import write_csv
 
 
 def sales_summary(spark, folder):
@@ -101,11 +102,41 @@ def create_views(spark, folder):
     return result
 
 
-def view_sales_summary(spark, folder):
+def _view(spark, folder, name):
+    """All rows of one view over published tables."""
     namespace, _ = _published(spark, folder)
     retail.create_views(spark, namespace)
-    report = spark.table(f"{namespace}.sales_summary")
-    return report.withColumns(as_double("units_sold", "total_sales"))
+    return spark.table(f"{namespace}.{name}")
+
+
+def view_sales_summary(spark, folder):
+    return _view(spark, folder, "sales_summary").withColumns(as_double("units_sold", "total_sales"))
+
+
+def view_customer_summary(spark, folder):
+    return _view(spark, folder, "customer_summary")
+
+
+def view_order_details(spark, folder):
+    return _view(spark, folder, "order_details").withColumns(as_double("total_amount"))
+
+
+def view_active_products(spark, folder):
+    return _view(spark, folder, "active_products").withColumns(as_double("price"))
+
+
+def view_high_value_customers(spark, folder):
+    return _view(spark, folder, "high_value_customers")
+
+
+def retail_load(spark, folder):
+    """From CSV files with the three schemas to published tables and their counts."""
+    path = scratch_path(spark, "load")
+    for name, source in (("customers", "customer"), ("orders", "orders"), ("products", "part")):
+        write_csv(dirty(spark, folder, source), f"{path}/{name}")
+    namespace = f"retail_{uuid.uuid4().hex[:12]}"
+    counts = retail.load_and_publish(spark, path, namespace, location=scratch_path(spark, namespace))
+    return counts.select(F.substring_index("table_name", ".", -1).alias("table_name"), "rows")
 
 
 QUERIES = {
@@ -120,6 +151,11 @@ QUERIES = {
     "publish_all": publish_all,
     "create_views": create_views,
     "view_sales_summary": view_sales_summary,
+    "view_customer_summary": view_customer_summary,
+    "view_order_details": view_order_details,
+    "view_active_products": view_active_products,
+    "view_high_value_customers": view_high_value_customers,
+    "retail_load": retail_load,
 }
 
 
@@ -244,3 +280,7 @@ ORACLE = {
             FROM ({_CUSTOMERS}) AS h WHERE loyalty_points >= 500""",
     "view_sales_summary": _VIEW_SALES,
 }
+# A view says the same as the function of its name, and a load the same as publishing.
+for _name in ("customer_summary", "order_details", "active_products", "high_value_customers"):
+    ORACLE[f"view_{_name}"] = ORACLE[_name]
+ORACLE["retail_load"] = ORACLE["publish_all"]

@@ -8,6 +8,7 @@ from tablewright.functions import text as T
 from tablewright.operators import rows as R
 from tablewright.plans.text import log_profile as profile
 from tablewright.plans.text import word_count
+from tablewright.operators.ordering import with_position
 
 
 def word_count_ascii(spark, folder):
@@ -22,6 +23,12 @@ def word_count_regex(spark, folder):
     return word_count(table(spark, folder, "documents"), "text", "regex")
 
 
+def word_count_position(spark, folder):
+    """Every word with its place by count, then by its bytes."""
+    placed = with_position(word_count_ws(spark, folder), ["-count", "word"])
+    return placed.withColumns(as_long("position"))
+
+
 # Hashtag texts from event rows; every seventh has none and every ninth has two.
 TAGGED = (
     "CASE WHEN event_id % 7 = 0 THEN concat('user ', CAST(user_id AS STRING)) "
@@ -106,6 +113,7 @@ QUERIES = {
     "word_count_ascii": word_count_ascii,
     "word_count_ws": word_count_ws,
     "word_count_regex": word_count_regex,
+    "word_count_position": word_count_position,
     "hashtags": hashtags,
     "hashtag_count": hashtag_count,
     "hashtag_count_registered": hashtag_count_registered,
@@ -159,3 +167,5 @@ ORACLE = {
     "parse_delimited": """SELECT p_partkey AS product_id, p_name AS name, p_type AS category,
         CAST(p_size AS BIGINT) AS quantity FROM part""",
 }
+ORACLE["word_count_position"] = f"""SELECT word, count, row_number() OVER (ORDER BY count DESC, encode(word)) AS position
+    FROM ({ORACLE["word_count_ws"]}) AS w"""

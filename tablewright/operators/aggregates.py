@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordering import sort_columns
-from tablewright.operators.skew import GROUP_ROWS, hot_groups, split_hot
+from tablewright.operators.skew import HOT_ROWS
+from tablewright.operators.windows import running_total
+from tablewright.runtime import cut_lineage
 
 # Values of one key held in a single array.
 ARRAY_ROWS = 1_000_000
@@ -92,34 +94,24 @@ def collect_values(
 ) -> DataFrame:
     """Sorted values per key as arrays, in ``(key, chunk, values)`` rows.
 
-    A key has one row (chunk 0) unless it owns more than ``hot_rows`` values.
-    Such a key is spread over several rows, so no array and no task has to hold
-    a group of unlimited size; together the chunks hold every value.
+    The values of a key in ascending order are cut into chunks of exactly ``hot_rows``, the
+    last one shorter; so a key of up to that many values has one row (chunk 0), and the
+    chunks of a larger one follow each other. Nulls are left out. Equal values are counted
+    first and take as many places as they have copies, so neither a key with very many
+    values nor a value with very many copies meets in one task.
     """
-    pairs = df.select(key, value).filter(F.col(value).isNotNull())
-    hot = hot_groups(pairs, [key], hot_rows)
-    ordinary, heavy = (pairs, None) if hot is None else split_hot(pairs, hot, [key])
-    plain = ordinary.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(name))
-    plain = plain.select(key, F.lit(0).cast("long").alias("chunk"), name)
-    if heavy is None:
-        return plain
-    # Copies of one value are counted first and then dealt out in portions, so
-    # that neither the count nor the dealing depends on the order of the rows.
     limit = F.lit(max(hot_rows, 1)).cast("long")
-    counts = heavy.groupBy(key, GROUP_ROWS, value).agg(F.count(F.lit(1)).alias("_copies"))
-    last = F.floor((F.col("_copies") - 1) / limit)
-    portions = counts.withColumn("_portion", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    copies = F.least(limit, F.col("_copies") - F.col("_portion") * limit).cast("int")
-    chunks = F.ceil(F.col(GROUP_ROWS) / limit).cast("long")
-    dealt = portions.select(
-        key,
-        F.pmod(F.xxhash64(value, "_portion"), chunks).alias("chunk"),
-        F.array_repeat(value, copies).alias("_part"),
-    )
-    split = dealt.groupBy(key, "chunk").agg(
-        F.sort_array(F.flatten(F.collect_list("_part"))).alias(name)
-    )
-    return plain.unionByName(split)
+    pairs = df.select(key, value).filter(F.col(value).isNotNull())
+    counts = pairs.groupBy(key, value).agg(F.count(F.lit(1)).alias("_copies"))
+    placed = running_total(counts, key, value, "_copies", "_end", frame="rows", hot_rows=max(hot_rows, 1))
+    begin, end = F.col("_end") - F.col("_copies"), F.col("_end")
+    chunks = F.sequence(F.floor(begin / limit), F.floor((end - 1) / limit))
+    cut = placed.withColumn("chunk", F.explode(chunks))
+    inside = F.least(end, (F.col("chunk") + 1) * limit) - F.greatest(begin, F.col("chunk") * limit)
+    parts = cut.select(key, "chunk", F.struct(F.col(value).alias("v"), inside.cast("int").alias("n")).alias("_part"))
+    ordered = F.sort_array(F.collect_list("_part"))
+    repeated = F.flatten(F.transform(ordered, lambda part: F.array_repeat(part["v"], part["n"])))
+    return parts.groupBy(key, "chunk").agg(repeated.alias(name))
 
 
 def pivot_sum(
@@ -148,11 +140,34 @@ def split_duplicates(
     return counts.filter(F.col(name) > 1), counts.filter(F.col(name) < 2)
 
 
+def exact_quantiles(
+    df: DataFrame, column: str, shares: Sequence[float], hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """The values below or at which the given shares of all values lie: (share, value).
+
+    For share s of n values it is the one at place ceil(s * n) (the first for 0), always a
+    value of the column; nulls are left out, no values give null. Equal values are counted
+    first; above ``hot_rows`` different values the counts are added up in blocks, so no task
+    holds the column however large or skewed it is.
+    """
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("_n")).filter("value IS NOT NULL")
+    one = F.lit(0).alias("_all")
+    placed = cut_lineage(running_total(counts.select(one, "value", "_n"), "_all", "value", "_n", "_end", hot_rows=hot_rows))
+    total = F.coalesce(placed.agg(F.max("_end")).scalar(), F.lit(0))
+    wanted = F.explode(F.array(*(F.lit(float(share)) for share in shares)))
+    # A share is an exact decimal here: 0.07 of 100 values are 7 of them, not 8.
+    place = F.greatest(F.ceil(F.col("share").cast("decimal(12,10)") * total), F.lit(1)).cast("long")
+    asked = df.sparkSession.range(1).select(wanted.alias("share")).withColumn("_place", place)
+    at = (F.col("_place") > F.col("_end") - F.col("_n")) & (F.col("_place") <= F.col("_end"))
+    # A handful of places is sent to the values.
+    return asked.join(F.broadcast(asked).join(placed, at).select("share", "value"), "share", "left").select("share", "value")
+
+
 def summary_stats(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row.
 
     Quartiles are values of the column, not interpolated, found by a mergeable
-    sketch (rank error below 1 in 10,000).
+    sketch (rank error below 1 in 10,000); ``exact_quantiles`` has no error.
     """
     quartiles = F.percentile_approx(column, [0.25, 0.5, 0.75], 10_000)
     return df.agg(

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.skew import share_counts, with_share
+
 
 def inner_join(
     left: DataFrame,
@@ -21,13 +23,32 @@ def inner_join(
 ) -> DataFrame:
     """Inner equi-join, by default with the partitioning Spark picks.
 
-    ``partitions`` fixes the number of key partitions on both sides. A fixed
-    partitioning is never split, so keep to the default for uneven keys.
+    ``partitions`` fixes the number of partitions on both sides. A key with more rows on
+    a side than half an even partition is then cut into shares there, and the rows of the
+    other side go to each of them.
     """
-    if partitions is not None:
-        keys = [on] if isinstance(on, str) else list(on)
-        left, right = left.repartition(partitions, *keys), right.repartition(partitions, *keys)
-    return left.join(right, on, "inner")
+    if partitions is None:
+        return left.join(right, on, "inner")
+    keys = [on] if isinstance(on, str) else list(on)
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    left, right = left.filter(known), right.filter(known)
+    shares = [share_counts(side, keys, partitions) for side in (left, right)]
+    cells = [f"_share{number}" for number, counted in enumerate(shares) if counted is not None]
+    dealt = []
+    for number, side in enumerate((left, right)):
+        for other, counted in enumerate(shares):
+            column = f"_share{other}"
+            if counted is None:
+                continue
+            if other == number:
+                side = with_share(side, keys, counted, column)
+            else:
+                every = F.sequence(F.lit(0).cast("long"), F.coalesce("_shares", F.lit(1).cast("long")) - 1)
+                side = side.join(counted, keys, "left").withColumn(column, F.explode(every)).drop("_shares")
+        dealt.append(side.repartition(partitions, *keys, *cells))
+    return dealt[0].join(dealt[1], [*keys, *cells], "inner").drop(*cells)
 
 
 def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:

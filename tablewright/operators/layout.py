@@ -6,6 +6,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.skew import share_counts, with_share
+
 
 def union_all(left: DataFrame, right: DataFrame) -> DataFrame:
     """Bag union by column name; duplicates stay."""
@@ -32,13 +34,16 @@ def shrink(df: DataFrame, partitions: int) -> DataFrame:
     return df.coalesce(partitions)
 
 
-def spread(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+def spread(df: DataFrame, partitions: int, *keys: str, split_hot: bool = False) -> DataFrame:
     """Shuffle to a partition count, by key when keys are given.
 
-    With keys, equal keys meet in one partition: use it only for keys whose
-    groups are known to be small enough.
+    With keys, equal keys meet in one partition. ``split_hot`` gives that up for keys with
+    more rows than half an even partition: they are dealt out over several.
     """
-    return df.repartition(partitions, *keys)
+    if not keys or not split_hot:
+        return df.repartition(partitions, *keys)
+    shared = with_share(df, keys, share_counts(df, keys, partitions), "_share")
+    return shared.repartition(partitions, *keys, "_share").drop("_share")
 
 
 def keep(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.runtime import cut_and_measure
 
@@ -77,3 +78,28 @@ def split_hot(
     extra = [F.col(f"h.{name}") for name in hot.columns if name not in keys]
     heavy = df.alias("l").join(hot.alias("h"), condition, "inner").select("l.*", *extra)
     return ordinary, heavy
+
+
+def share_counts(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame | None:
+    """Keys with more rows than half an even partition, and into how many shares
+    (``_shares``) of half that size such a key is to be cut; None when there are none.
+
+    There are at most two such keys per partition, so the answer is small.
+    """
+    limit = max(1, -(-df.count() // (2 * max(partitions, 1))))
+    hot = hot_groups(df, keys, limit)
+    return None if hot is None else hot.select(*keys, F.ceil(F.col(GROUP_ROWS) * 2 / limit).cast("long").alias("_shares"))
+
+
+def with_share(df: DataFrame, keys: Sequence[str], shares: DataFrame | None, name: str) -> DataFrame:
+    """The share of each row: 0, or for a key in ``shares`` one of several by the row's content.
+
+    A task that is run again makes the same choice. Rows equal in all columns share a share.
+    """
+    if shares is None:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    own = F.col("_shares")
+    counted = df.alias("l").join(shares.alias("h"), _same_key(keys), "left").select("l.*", "h._shares")
+    content = [field.name for field in df.schema.fields if not isinstance(field.dataType, (T.MapType, T.VariantType))]
+    share = F.coalesce(F.pmod(F.xxhash64(*content), own), F.lit(0).cast("long"))
+    return counted.withColumn(name, share).drop("_shares")

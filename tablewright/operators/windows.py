@@ -65,7 +65,7 @@ def _with_blocks(
     ordinary, heavy = split_hot(df, hot, part)
     rows = hot.agg(F.sum(GROUP_ROWS)).first()[0]
     blocks = -(-rows // max(hot_rows, 1)) * OVERSPLIT
-    ranged = heavy.repartitionByRange(int(blocks), GROUP_ID, *order)
+    ranged = heavy.repartitionByRange(int(blocks), GROUP_ID, *sort_columns(order))
     # Written down once: all later steps see the same blocks.
     return ordinary, cut_lineage(ranged.withColumn(BLOCK, F.spark_partition_id())).drop(GROUP_ROWS)
 
@@ -316,6 +316,48 @@ def sessionize(
     return _run(df, part, order, hot_rows, plain, blocked)
 
 
+def row_numbers(
+    df: DataFrame,
+    part: str | Sequence[str],
+    order: Sequence[str],
+    name: str = "row_number",
+    hot_rows: int | None = HOT_ROWS,
+    first: int | None = None,
+) -> DataFrame:
+    """Number the rows of each group from 1 (``"-amount"`` sorts descending).
+
+    Ties are broken by the other columns. A group above ``hot_rows`` is cut by range: the
+    rows of a block are numbered on their own and the blocks before it are counted. With
+    ``first`` only that many rows of a group are kept, and blocks that begin beyond them
+    are left out before anything is sorted.
+    """
+    part = _names(part)
+    order = _total_order(df, part, list(order))
+
+    def kept(numbered):
+        return numbered if first is None else numbered.filter(F.col(name) <= first)
+
+    def plain(rows):
+        window = Window.partitionBy(*part).orderBy(*sort_columns(order))
+        return kept(rows.withColumn(name, F.row_number().over(window).cast("long")))
+
+    def blocked(rows):
+        sizes = rows.groupBy(*BLOCK_KEYS).agg(F.count(F.lit(1)).alias("_rows"))
+        earlier = _earlier_sum(sizes, "_rows", "_earlier").na.fill(0, ["_earlier"])
+        if first is not None:
+            earlier = earlier.filter(F.col("_earlier") < first)
+        window = Window.partitionBy(*BLOCK_KEYS).orderBy(*sort_columns(order))
+        # The join comes first, so that blocks without a wanted row are never sorted.
+        numbered = rows.join(earlier, BLOCK_KEYS).withColumn("_row", F.row_number().over(window))
+        return kept(numbered.withColumn(name, F.col("_row") + F.col("_earlier")))
+
+    return _run(df, part, order, hot_rows, plain, blocked)
+
+
+# Up to this n, Spark cuts each group to n rows in every task before the shuffle.
+GROUP_LIMIT = 1000
+
+
 def top_n_per_group(
     df: DataFrame,
     part: str | Sequence[str],
@@ -323,16 +365,22 @@ def top_n_per_group(
     n: int,
     ties: str = "row",
     name: str = "rank",
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Best n rows per group (``"-amount"`` sorts descending).
 
-    ``ties="row"`` numbers rows and needs a total order to be repeatable;
-    ``ties="rank"`` keeps every row that ties with a kept one. Spark cuts each
-    group to n rows before the shuffle, so group size does not matter.
+    ``ties="row"`` numbers rows, ties broken by the other columns; ``ties="rank"`` keeps
+    every row that ties with a kept one. For n up to 1000 each task passes on n rows of a
+    group. Beyond that the rows of groups above ``hot_rows`` are cut into blocks by range, and
+    those blocks that hold the first n rows are numbered, one task each.
     """
     part = _names(part)
-    window = Window.partitionBy(*part).orderBy(*sort_columns(order))
-    numbered = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+    if n > GROUP_LIMIT:
+        numbered = row_numbers(df, part, order, name, hot_rows, first=n)
+        numbered = numbered.withColumn(name, F.col(name).cast("int"))
+    else:
+        window = Window.partitionBy(*part).orderBy(*sort_columns(_total_order(df, part, list(order))))
+        numbered = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
     if ties == "row":
         return numbered
     # The rank of a value is the row number of its first row, and every rank

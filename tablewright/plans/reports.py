@@ -10,6 +10,7 @@ from pyspark.sql.types import DecimalType
 
 from tablewright.operators.aggregates import group_min_max
 from tablewright.operators.ordering import sort_columns, top_k
+from tablewright.runtime import cut_lineage
 from tablewright.sinks.files import write_parquet
 
 
@@ -76,7 +77,8 @@ def segment_report(
 
     Repeated rows and incomplete orders are removed first. The three summaries
     join customers with per-customer sums, so a customer with very many orders
-    is one row by then; only ``joined`` has all rows.
+    is one row by then; only ``joined`` has all rows. The sums are written down once
+    for the three.
     """
     people = customers.distinct()
     lines = orders.na.drop().distinct()
@@ -86,7 +88,7 @@ def segment_report(
 
     amount = F.col("amount").cast(amount_type)
     spend = lines.groupBy(key).agg(F.sum(amount).alias("_sum"), F.count(amount).alias("_n"))
-    known = people.join(spend, key)
+    known = cut_lineage(people.join(spend, key))
     total = F.round(F.sum("_sum"), 2)
     by_city = known.groupBy("city").agg(total.alias("total_spendings"))
     mean = F.round(F.sum("_sum") / F.sum("_n"), 2)

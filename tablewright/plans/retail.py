@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalars as S
 from tablewright.operators.rows import dedup
 from tablewright.sinks.catalog import create_view, ensure_namespace, publish_table, verify_counts
+from tablewright.sources.files import read_csv
 
+# Columns and types of the three tables.
 ORDER_SCHEMA = (
     "order_id string, customer_id string, product_id string, order_date date, ship_date date, "
     "quantity int, unit_price string, discount_pct string, total_amount float, "
@@ -186,6 +188,26 @@ def publish_all(
     return verify_counts(spark, {f"{namespace}.{name}": None for name in frames})
 
 
+def load_and_publish(
+    spark: SparkSession, folder: str, namespace: str, provider: str = "parquet", location: str | None = None
+) -> DataFrame:
+    """CSV files with headers below ``folder`` (customers, orders, products) to cleaned,
+    published tables; returns the read-back counts.
+
+    Columns bind by position. An unreadable cell is null, which cleaning then treats as
+    missing.
+    """
+    def read(name: str, schema: str) -> DataFrame:
+        return read_csv(spark, f"{folder.rstrip('/')}/{name}", schema)
+
+    frames = {
+        "customers": clean_customers(read("customers", CUSTOMER_SCHEMA)),
+        "orders": clean_orders(read("orders", ORDER_SCHEMA)),
+        "products": clean_products(read("products", PRODUCT_SCHEMA)),
+    }
+    return publish_all(spark, frames, namespace, provider, location)
+
+
 def create_views(spark: SparkSession, namespace: str) -> list[str]:
     """The five reporting views over ``customers``, ``orders`` and ``products``.
 
@@ -193,6 +215,7 @@ def create_views(spark: SparkSession, namespace: str) -> list[str]:
     its name above. Returns the view names.
     """
     name = "concat(first_name, ' ', last_name) AS customer_name"
+    # Names and columns of the views.
     views = {
         "customer_summary": f"""
             SELECT customer_id, {name}, email, phone, country, state, loyalty_points, is_active

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -43,18 +44,28 @@ def test_collect_values_sorts_and_drops_nulls(spark, rows):
     assert got == [("a", 0, [1, 1, 3])]
 
 
-def test_collect_values_spreads_a_hot_key_and_keeps_all(spark):
+def test_collect_values_cuts_every_key_by_one_rule(spark):
     rng = random.Random(3)
-    hot = [("hot", 7)] * 120 + [("hot", rng.randrange(40)) for _ in range(80)]
-    data = hot + [("cold", 5), ("cold", 4), (None, 1)]
+    data = [("hot", 7)] * 120 + [("hot", rng.randrange(40)) for _ in range(85)]
+    data += [("cold", 5), ("cold", 4), (None, 1), ("full", None)] + [("full", n) for n in range(40)]
     df = spark.createDataFrame(data, DDL).repartition(4)
     got = A.collect_values(df, "k", "v", hot_rows=20).collect()
-    kept = sorted(v for row in got if row["k"] == "hot" for v in row["values"])
-    assert kept == sorted(v for k, v in data if k == "hot")
-    chunks = [row["values"] for row in got if row["k"] == "hot"]
-    assert len(chunks) > 3 and all(chunk == sorted(chunk) for chunk in chunks)
-    assert [row["values"] for row in got if row["k"] == "cold"] == [[4, 5]]
-    assert [row["values"] for row in got if row["k"] is None] == [[1]]
+    for key in ("hot", "cold", None, "full"):
+        values = sorted(v for k, v in data if k == key and v is not None)
+        wanted = [values[i : i + 20] for i in range(0, len(values), 20)]
+        chunks = sorted((row["chunk"], row["values"]) for row in got if row["k"] == key)
+        assert chunks == list(enumerate(wanted))
+
+
+def test_exact_quantiles(spark):
+    values = [5] * 50 + list(range(100, 130)) + [-3] * 19 + [None] * 7
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(3)
+    kept = sorted(v for v in values if v is not None)
+    shares = [0.0, 0.19, 0.2, 0.5, 0.7, 0.75, 1.0]
+    wanted = {s: kept[max(1, math.ceil(round(s * len(kept), 9))) - 1] for s in shares}
+    for hot_rows in (None, 4):
+        assert {r["share"]: r["value"] for r in A.exact_quantiles(df, "v", shares, hot_rows).collect()} == wanted
+    assert A.exact_quantiles(df.filter("v > 999"), "v", [0.5]).collect() == [(0.5, None)]
 
 
 def test_pivot_fills_gaps(spark, rows):

@@ -128,3 +128,42 @@ def test_search_and_grouping_of_nothing(spark):
     assert O.top_k(empty, ["id"], 3).count() == 0
     assert J.no_match(empty, empty, "id").count() == 0
     assert L.intersect(empty, empty).count() == 0
+
+
+# Given partitions and hot keys
+
+
+def task_rows(df, partitions):
+    counted = {r["pid"]: r["rows"] for r in L.partition_profile(df).collect()}
+    return sorted(counted.get(n, 0) for n in range(partitions))
+
+
+def test_join_in_given_partitions_cuts_hot_keys(spark, rows):
+    left = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id % 500 END AS k", "id AS a")
+    right = spark.range(700).selectExpr("CASE WHEN id < 200 THEN id - 1 WHEN id < 230 THEN -1 ELSE NULL END AS k", "id AS b")
+    plain = left.join(right, "k")
+    split = J.inner_join(left, right, "k", 8)
+    assert split.columns == plain.columns
+    assert split.groupBy("k").agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")).exceptAll(
+        plain.groupBy("k").agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    ).isEmpty()
+    assert split.count() == plain.count()
+    sizes = task_rows(split, 8)
+    assert sizes[-1] < 2 * sizes[4]
+    assert task_rows(left.repartition(8, "k").join(right.repartition(8, "k"), "k"), 8)[-1] > 3 * sizes[4]
+
+
+def test_spread_can_split_hot_keys(spark, rows):
+    df = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 300 END AS k", "id")
+    split = L.spread(df, 6, "k", split_hot=True)
+    assert split.columns == df.columns and rows(split) == rows(df)
+    sizes = task_rows(split, 6)
+    assert sizes[-1] < 2 * sizes[3]
+
+
+def test_positions_equal_a_sort(spark):
+    df = spark.range(500).selectExpr("id * 37 % 50 AS v", "id % 7 AS w", "id").repartition(6)
+    placed = O.with_position(df, ["-v", "w"]).orderBy("position").collect()
+    wanted = sorted(((r["v"], r["w"], r["id"]) for r in df.collect()), key=lambda r: (-r[0], r[1], r[2]))
+    assert [(r["v"], r["w"], r["id"], r["position"]) for r in placed] == [(*row, n) for n, row in enumerate(wanted, 1)]
+    assert O.with_position(df.limit(0), ["v"]).count() == 0

@@ -6,6 +6,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablewright.operators import windows as W
@@ -254,3 +255,42 @@ def test_one_outlier_does_not_void_the_blocks(spark):
     )
     _, heavy = W._with_blocks(df, ["g"], ["o"], 1000)
     assert max(row["count"] for row in heavy.groupBy(W.BLOCK).count().collect()) < 2000
+
+
+# Numbers and best rows of groups of any size
+
+
+def numbered_rows():
+    rng = random.Random(6)
+    return [(rng.choice(["hot"] * 9 + ["a", None]), rng.choice([None, *range(30)]), n) for n in range(600)]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 5, 100])
+def test_row_numbers(spark, rows, hot_rows):
+    data = numbered_rows()
+    df = spark.createDataFrame(data, "g string, v int, n int").repartition(5)
+    wanted = []
+    for group in {g for g, _, _ in data}:
+        members = sorted((row for row in data if row[0] == group), key=lambda row: (row[1] is None, -(row[1] or 0), row[2]))
+        wanted += [(n, number) for number, (_, _, n) in enumerate(members, 1)]
+    got = W.row_numbers(df, "g", ["-v"], hot_rows=hot_rows)
+    assert rows(got, "n", "row_number") == sorted(wanted)
+
+
+@pytest.mark.parametrize("ties", ["row", "rank"])
+@pytest.mark.parametrize("n", [1000, 1001, 1500])
+def test_top_n_beyond_the_group_limit(spark, rows, ties, n):
+    df = spark.range(6000).selectExpr("id % 4 < 3 AS g", "id * 7919 % 700 AS v", "id")
+    function = F.rank() if ties == "rank" else F.row_number()
+    window = Window.partitionBy("g").orderBy(F.desc("v"), *([] if ties == "rank" else ["id"]))
+    wanted = df.withColumn("rank", function.over(window)).filter(F.col("rank") <= n)
+    assert rows(W.top_n_per_group(df, "g", ["-v"], n, ties=ties, hot_rows=300)) == rows(wanted)
+
+
+def test_no_task_holds_a_hot_group(spark):
+    df = spark.range(40_000).selectExpr("0 AS g", "id * 7919 % 40009 AS v")
+    _, heavy = W._with_blocks(df, ["g"], ["-v"], 1000)
+    sizes = [row["count"] for row in heavy.groupBy(W.BLOCK).count().collect()]
+    assert len(sizes) > 40 and max(sizes) <= 1000
+    best = W.top_n_per_group(df, "g", ["-v"], 1001, hot_rows=1000)
+    assert [row["v"] for row in best.orderBy("rank").collect()] == sorted((r["v"] for r in df.collect()), reverse=True)[:1001]
