@@ -9,7 +9,7 @@ verified by aligning their labelled runs within a band around the diagonal.
 
 from __future__ import annotations
 
-import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -228,13 +228,11 @@ def text_links(docs: DataFrame, text: str = "text", similarity: float = SIMILARI
     Texts with one sketch in common form a bucket. Comparing all pairs of a large bucket
     is never done; most of its links follow from few comparisons. First every text meets
     leaders of its buckets: the most central member (the one whose buckets have the most
-    members) and the one with the smallest hash. What is left is exact: in every bucket
-    with several components, the members outside its leader's are compared with all
-    members that are not in theirs, so that no link within a bucket is lost, whatever its
-    size. Pairs that can't be similar are passed over: those whose numbers of runs differ
-    too much, and those without a rare run in common (``_rare_runs``).
+    members) and the one with the smallest hash. What is left is exact: those texts of
+    the buckets with several components that can be similar share a rare run and are
+    compared (``_rare_pairs``), whether they share a sketch or not.
     """
-    nodes = _sketched(docs, text)
+    nodes = cut_lineage(_sketched(docs, text))
 
     member = nodes.select("node", "n", F.posexplode("keys").alias("number", "key"))
     counted = member.groupBy("number", "key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -266,38 +264,51 @@ def text_links(docs: DataFrame, text: str = "text", similarity: float = SIMILARI
     links = cut_lineage(verified(candidates(with_leaders), texts, similarity))
     roots = components(links)
 
-    def still_open(roots: DataFrame) -> DataFrame:
-        """Rows of the buckets with several components, with the members' ``root`` and the
-        leader's ``lead_root``."""
-        placed = shared.join(roots, "node", "left").select(
-            "number", "key", "node", "n", "degree", F.coalesce("root", "node").alias("root")
-        )
-        lead = F.max(F.struct("degree", F.xxhash64("node").alias("rank"), "root"))["root"]
-        split = placed.groupBy("number", "key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), lead.alias("lead_root")
-        ).filter("low <> high").select("number", "key", "lead_root")
-        return cut_lineage(placed.join(split, ["number", "key"]))
-
-    open_ = still_open(roots)
-    rare = _rare_runs(open_.select("node").distinct().join(texts, "node"), similarity)
-    open_ = cut_lineage(open_.join(rare, "node"))
-    outside = open_.filter("root <> lead_root").select("number", "key", "node", "n", "root", "rare")
-    others = open_.select(
-        "number", "key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"),
-        F.col("rare").alias("other_rare"),
+    placed = shared.select("number", "key", "node").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
     )
-    rest = outside.join(
-        others,
-        (outside["number"] == others["number"]) & (outside["key"] == others["key"])
-        & (outside["root"] != others["other_root"]) & fits & F.arrays_overlap("rare", "other_rare"),
-    ).select("node", "n", "other", "other_n")
-    more = verified(candidates(rest), texts, similarity)
-    return components(links.unionByName(more))
+    split = placed.groupBy("number", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    open_ = placed.join(split, ["number", "key"], "left_semi").select("node", "root").distinct()
+    rare = _rare_runs(cut_lineage(open_.join(texts, "node")), similarity)
+    more = verified(candidates(_rare_pairs(cut_lineage(rare), similarity)), texts, similarity)
+    return components(roots.unionByName(more.toDF("node", "root")))
+
+
+def _rare_pairs(rare: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of different components that may be similar, from their rare runs.
+
+    Similar texts have the first run they share, in the order from rare to frequent, among
+    the rare ones of both, and enough runs from there on in both. Runs within a single
+    component are dropped first. Of the others, the texts outside the run's largest
+    component are joined with all; the join key holds the size class too, so texts of very
+    different lengths never meet.
+    """
+    largest = F.max(F.struct("members", "root"))["root"]
+    several = rare.groupBy("run", "root").agg(F.count(F.lit(1)).alias("members")).groupBy("run").agg(
+        F.count(F.lit(1)).alias("roots"), largest.alias("lead_root")
+    ).filter("roots > 1").drop("roots")
+    # Slightly wider classes than the largest ratio: sizes that fit are never two classes apart.
+    size = F.floor(F.log("n") / (1.001 * math.log(max(1.01, 1 / similarity))))
+    cells = cut_lineage(rare.join(several, "run").withColumn("size", size))
+    outside = cells.filter("root <> lead_root").withColumn(
+        "size", F.explode(F.array(*[F.col("size") + step for step in (-1, 0, 1)]))
+    ).drop("lead_root")
+    others = cells.select(
+        "run", "size", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"),
+        F.col("left").alias("other_left"),
+    )
+    enough = F.least("left", "other_left") >= similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - 1e-6
+    fits = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n")
+    pairs = outside.join(others, ["run", "size"]).filter(
+        (F.col("root") != F.col("other_root")) & fits & enough
+    )
+    return pairs.select("node", "n", "other", "other_n")
 
 
 def _rare_runs(texts: DataFrame, similarity: float, bits: int = 20) -> DataFrame:
-    """``node`` and ``rare``, so many of its rarest runs that a text as similar has one of
-    its own rarest runs among them.
+    """``node``, ``root``, ``n``, ``run`` and ``left``: a row for each of a text's rarest
+    runs, so many that a text as similar has one of its own rarest runs among them.
+    ``left`` counts the text's runs from that one on, in the order from rare to frequent.
 
     Of n runs, similar texts share so many that n minus those, plus one, in any fixed order
     of all runs cannot all be missed (prefix filter). In the order from rare to frequent,
@@ -326,19 +337,25 @@ def _rare_runs(texts: DataFrame, similarity: float, bits: int = 20) -> DataFrame
             for piece in pieces(batch.column("text")):
                 runs, offsets = labelled_runs(piece)
                 often = frequency.value[(runs >> np.uint64(64 - bits)).astype(np.int64)]
-                chosen = []
-                for begin, end in zip(offsets.tolist(), offsets[1:].tolist()):
+                rows, chosen, left = [], [], []
+                for row, (begin, end) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
                     n = end - begin
                     most = n - int(np.ceil(similarity * n - 1e-9)) + 1
                     order = np.lexsort((runs[begin:end], often[begin:end]))[:most]
                     chosen.append(runs[begin:end][order].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(done, len(piece)), pa.array(chosen, pa.list_(pa.int64()))],
-                    names=["node", "rare"],
-                )
+                    left.append(n - np.arange(len(order)))
+                    rows.append(np.full(len(order), row))
+                at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
+                columns = [batch.column(name).slice(done, len(piece)).take(at) for name in ("node", "root")]
+                columns += [pa.array(np.diff(offsets)[at]), *(
+                    pa.array(np.concatenate(part) if part else np.empty(0, np.int64)) for part in (chosen, left)
+                )]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "n", "run", "left"])
                 done += len(piece)
 
-    return texts.select("node", "text").mapInArrow(choose, "node binary, rare array<long>")
+    return texts.select("node", "root", "text").mapInArrow(
+        choose, "node binary, root binary, n long, run long, left long"
+    )
 
 
 def _named(leader):
@@ -371,11 +388,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The first document of every class; of equal rows of it, one."""
+    """The first document of every class. Of rows with one key and text, the one whose
+    other columns come first as JSON text stays."""
     found = classes(docs, key, text, similarity).filter(
         F.col(key).eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("representative"))
     )
     kept = found.select(F.col(key).alias("__key"), F.col("node").alias("__kept")).distinct()
     tagged = docs.withColumn("__node", _node(text))
     same = (tagged["__node"] == kept["__kept"]) & tagged[key].eqNullSafe(kept["__key"])
-    return tagged.join(kept, same, "left_semi").dropDuplicates([key, "__node"]).drop("__node")
+    others = F.struct(*[tagged[name] for name in docs.columns if name != text], tagged[text].isNull().alias("__null"))
+    first = F.min_by(F.struct(*[tagged[name] for name in docs.columns]), F.to_json(others)).alias("__first")
+    found = tagged.join(kept, same, "left_semi").groupBy(tagged[key], "__node").agg(first)
+    return found.select("__first.*")
