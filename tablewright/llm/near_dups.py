@@ -389,7 +389,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The first document of every class. Of rows with one key and text, the one whose
-    other columns come first as JSON text stays."""
+    other columns come first as JSON text, which leaves nulls out, stays."""
     found = classes(docs, key, text, similarity).filter(
         F.col(key).eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("representative"))
     )

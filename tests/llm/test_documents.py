@@ -551,6 +551,21 @@ def test_components_of_long_chains_and_stars(spark):
     )
 
 
+def test_equal_keys_and_texts_leave_a_fixed_row(spark):
+    rows = [(1, "same words in both of these rows", source) for source in ("b", "a", None, "c")]
+    rows += [(2, "", "y"), (2, None, "x"), (None, "a text without a key", "z")]
+    kept = [
+        bag(near_dups.one_of_each(
+            spark.createDataFrame(order, "doc_id long, text string, source string").repartition(parts)
+        ).collect())
+        for order, parts in ((rows, 1), (rows[::-1], 3))
+    ]
+    assert kept[0] == kept[1]
+    assert kept[0] == Counter(
+        [(1, "same words in both of these rows", None), (2, None, "x"), (None, "a text without a key", "z")]
+    )
+
+
 def test_classes_of_an_empty_table(empty):
     assert near_dups.classes(empty).count() == 0
 
