@@ -1,29 +1,29 @@
 """Main text of web pages by wrappers inferred per host (union-free regular expressions).
 
-The token stream of a page is nested by its tags. Streams of one host are aligned one
-after the other: equal tags match, runs of the same tag become repeated groups, tags that
-only some pages have become optional groups, and texts that differ become slots. What is
-left fixed is the host's template. The wrapper then says where a page's slots hold the
-article, and which texts inside belong to the template.
+A page is read as a stream of tags and texts. The streams of a host are aligned element by
+element, one page after the other: an element is known by the tags and classes around it,
+an element that returns inside its parent becomes a repeated group, one that some pages lack
+an optional group, a text that the pages share stays fixed and one that differs becomes a
+slot. Tasks read the pages, and grouping in Spark merges what they found, so all pages of a
+host count however many there are. The article is what stands in slots: blocks that are
+fixed on the host, or repeated groups of links, belong to its template.
 """
 
 from __future__ import annotations
 
 import html as references
-import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from difflib import SequenceMatcher
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.runtime import cut_and_measure, cut_lineage
+from tablewright.runtime import cut_lineage
 
-# Sizes up to which the sample's list and the wrappers are sent to the pages.
-LISTED_ROWS = 200_000
+# Size up to which the wrappers are sent to the pages; beyond it Spark joins by shuffling.
 WRAPPER_BYTES = 16 << 20
 
 # Fixed values of HTML: elements without an end, with raw text, and those that begin a block.
@@ -35,7 +35,7 @@ BLOCK = frozenset(
     "select summary table caption tbody thead tfoot tr ul".split()
 )
 CELL = frozenset(("td", "th"))
-# Elements whose start closes an open one of the second kind, up to one of the third.
+# Elements whose start closes an open one of the second kind, unless one of the third is nearer.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
     "dt": (("dt", "dd"), ("dl",)),
@@ -55,238 +55,198 @@ NAMES = re.compile(
     r"newsletter|subscribe|subscription|signup|login|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|disclaimer|"
     r"copyright|tags|tagcloud|skip-link|search|forms?|complementary|contentinfo)(?:$|[\s_-])"
 )
-HOLDERS = frozenset("html body div main article section center table tbody tr td form span".split())
+# Whole names that say an element holds the article, whatever other names stand beside them,
+# and names of what readers write.
+ARTICLE_NAMES = frozenset("article article-body entry entry-content post post-content post-body story story-body content".split())
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|disqus|respond)(?:$|[\s_-])")
 ARTICLE = frozenset(("article", "main"))
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
 _NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.IGNORECASE) for tag in RAW}
+_DIGITS = re.compile(r"\d+")
 
 
-@dataclass
-class Node:
-    """An element of a page: its tag, its class, what it holds in order."""
+def _hash(text: str, seed: int = 0) -> int:
+    value = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
+    return value - (1 << 64) if value >> 63 else value
 
-    tag: str
-    kind: str = ""
-    aside: bool = False
-    inside: list = field(default_factory=list)
-
-    @property
-    def key(self) -> str:
-        return f"{self.tag}.{self.kind}" if self.kind else self.tag
-
-
-def parse(page: str) -> Node:
-    """The page's elements, however carelessly they are closed."""
-    root = Node("")
-    open_ = [root]
-    at = 0
-    for match in iter(lambda: _TAG.search(page, at), None):
-        if match.start() > at:
-            open_[-1].inside.append(page[at : match.start()])
-        at = max(match.end(), match.start() + 1)
-        tag = match[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if match[1]:
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth].tag == tag:
-                    del open_[depth:]
-                    break
+
+def tags(page: str) -> Iterator[tuple[str, str, str]]:
+    """The page as (kind, name, rest): ``text``, ``open`` or ``close``, in one pass.
+
+    Comments, declarations and the insides of scripts and the like are left out. Where a tag
+    never ends because its quotes do not pair up, tags end at the next ``>`` from there on;
+    a tag without any ``>`` after it is text.
+    """
+    at, begun, quoted = 0, 0, True
+    while (start := page.find("<", at)) >= 0:
+        close = page.startswith("/", start + 1)
+        name = _NAME.match(page, start + 1 + close)
+        if name is None and not (close or page.startswith(("!", "?"), start + 1)):
+            at = start + 1  # a sign, not a tag
             continue
-        if tag in BLOCK:
-            _close(open_, ("p",), ("td", "th", "button", "table"))
-        if tag in CLOSES:
-            _close(open_, *CLOSES[tag])
-        names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(match[3])}
-        named = " ".join(names.get(k, "") for k in ("class", "id", "role")).lower()
-        hidden = "hidden" in names or names.get("aria-hidden", "").lower() == "true"
-        outside = not any(node.tag in ARTICLE for node in open_)
-        header = outside and (tag == "header" or "header" in named.split())
-        node = Node(tag, " ".join(names.get("class", "").lower().split()))
-        node.aside = tag in ASIDE or header or hidden or (tag not in ("html", "body") and bool(NAMES.search(named)))
-        if tag in RAW:
-            if not match[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+        if name is None:
+            ends = (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<", ">"))
+            ending = next(ending for opening, ending in ends if page.startswith(opening, start))
+            stop = page.find(ending, start + 1)
+            stop = len(page) if stop < 0 else stop + len(ending)
+            if start > begun:
+                yield "text", "", page[begun:start]
+            at = begun = stop
             continue
-        open_[-1].inside.append(node)
-        if tag not in VOID and not match[3].rstrip().endswith("/") or tag not in VOID and tag in BLOCK:
-            open_.append(node)
-    if at < len(page):
-        open_[-1].inside.append(page[at:])
-    return root
-
+        stop = -1
+        if quoted:
+            look = name.end()
+            while mark := _STOP.search(page, look):
+                if mark[0] == ">":
+                    stop = mark.start()
+                    break
+                look = page.find(mark[0], mark.end()) + 1
+                if not look:
+                    break
+            quoted = stop >= 0
+        if stop < 0:
+            stop = page.find(">", name.end())
+            if stop < 0:
+                break
+        if start > begun:
+            yield "text", "", page[begun:start]
+        tag, rest = name[0].lower(), page[name.end() : stop]
+        at = begun = stop + 1
+        yield "close" if close else "open", tag, rest
+        if tag in RAW and not close and not rest.rstrip().endswith("/"):
+            end = _ENDS[tag].search(page, at)
+            at = begun = end.end() if end else len(page)
+    if begun < len(page):
+        yield "text", "", page[begun:]
 
-def _close(open_: list[Node], tags: tuple[str, ...], limits: tuple[str, ...]) -> None:
-    for depth in range(len(open_) - 1, 0, -1):
-        if open_[depth].tag in tags:
-            del open_[depth:]
-            return
-        if open_[depth].tag in limits:
-            return
 
+@dataclass
+class Block:
+    """A block of a page: its element, its text, whether all of it is links."""
 
-def _plain(text: str) -> str:
-    return " ".join(references.unescape(text).split())
+    path: int
+    key: str
+    text: str
+    links: bool
+    marked: bool
 
 
-# A wrapper element: key, whether it is optional or repeated, pages that have it, text in
-# slots, elements inside, and the fixed texts with the pages that have them.
 @dataclass
-class Part:
-    key: str
+class _Open:
     tag: str
+    path: int
+    key: str
     aside: bool
-    optional: bool = False
-    repeated: bool = False
-    pages: int = 1
-    slot: int = 0
-    inside: list = field(default_factory=list)
-    fixed: dict = field(default_factory=dict)
-
-
-def _part(node: Node) -> Part:
-    """The wrapper of one page: runs of one tag are folded into a repeated group."""
-    part = Part(node.key, node.tag, node.aside)
-    for child in node.inside:
-        if isinstance(child, str):
-            if text := _plain(child):
-                part.fixed[text] = 1
-        elif child.tag not in VOID:
-            new = _part(child)
-            if part.inside and part.inside[-1].key == new.key:
-                part.inside[-1] = _merged(part.inside[-1], new, same_page=True)
-                part.inside[-1].repeated = True
-            else:
-                part.inside.append(new)
-    return part
-
-
-def _merged(a: Part, b: Part, same_page: bool = False) -> Part:
-    """Align two wrappers of the same element."""
-    part = Part(a.key, a.tag, a.aside, a.optional or b.optional, a.repeated or b.repeated)
-    part.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
-    part.slot = a.slot + b.slot
-    for text in a.fixed | b.fixed:
-        seen = a.fixed.get(text, 0), b.fixed.get(text, 0)
-        part.fixed[text] = max(seen) if same_page else sum(seen)
-    matcher = SequenceMatcher(None, [p.key for p in a.inside], [p.key for p in b.inside], autojunk=False)
-    for kind, i, k, j, m in matcher.get_opcodes():
-        if kind == "equal":
-            part.inside += [_merged(x, y, same_page) for x, y in zip(a.inside[i:k], b.inside[j:m])]
-        else:
-            for extra in a.inside[i:k] + b.inside[j:m]:
-                extra.optional = True
-                part.inside.append(extra)
-    return part
-
-
-def _size(part: Part, pages: int) -> int:
-    """Characters in slots below an element that can hold an article."""
-    own = sum(len(text) * seen for text, seen in part.fixed.items() if seen < pages or pages < 2)
-    return own + sum(_size(child, pages) for child in part.inside if not child.aside)
-
-
-def infer(pages: list[str]) -> dict:
-    """The wrapper of some pages of a host: the path to the article, and fixed texts by path.
-
-    The path leads through the elements that hold most of the text in slots. A text is
-    fixed if all pages have it under the same path, and there are ``5`` pages or more;
-    headings and paragraphs are never fixed.
-    """
-    wrapper = _part(parse(pages[0]))
-    for page in pages[1:]:
-        wrapper = _merged(wrapper, _part(parse(page)))
-    path, part = [], wrapper
-    while part.tag not in ARTICLE:
-        below = [(_size(child, len(pages)), child) for child in part.inside if not child.aside]
-        most, child = max(below, key=lambda x: x[0], default=(0, None))
-        whole = _size(part, len(pages))
-        if child is None or child.tag not in HOLDERS or child.repeated or not whole or most < 0.7 * whole:
-            break
-        path.append(child.key)
-        part = child
-    fixed: list[str] = []
-
-    def collect(part: Part) -> None:
-        if part.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
-            fixed.extend(f"{part.key}\t{text}" for text, seen in part.fixed.items() if seen >= len(pages))
-            for child in part.inside:
-                if not child.aside:
-                    collect(child)
-
-    if len(pages) >= 5:
-        collect(part)
-    return {"path": path, "fixed": sorted(fixed)}
-
-
-def _holds(node: Node) -> bool:
-    return any(_plain(c) if isinstance(c, str) else not c.aside and _holds(c) for c in node.inside)
-
-
-def _regions(node: Node, path: list[str]) -> list[Node]:
-    """Elements under this path."""
-    if not path:
-        return [node]
-    return [r for c in node.inside if isinstance(c, Node) and c.key == path[0] for r in _regions(c, path[1:])]
-
-
-def _articles(node: Node) -> list[Node]:
-    """The outermost article and main elements that are not part of something else."""
-    if node.tag in ARTICLE:
-        return [node]
-    return [a for c in node.inside if isinstance(c, Node) and not c.aside for a in _articles(c)]
-
-
-def extract(page: str | None, wrapper: dict | None) -> str:
-    """The article's blocks, joined by empty lines; empty if the page has none.
+    marked: bool
+    link: bool
+
+
+@dataclass
+class _Stack:
+    """Open elements, with the depths of each tag, so that none is ever searched for."""
+
+    items: list[_Open]
+    depths: dict[str, list[int]] = field(default_factory=dict)
+
+    def push(self, item: _Open) -> None:
+        self.depths.setdefault(item.tag, []).append(len(self.items))
+        self.items.append(item)
 
-    Without a wrapper, or where its path leads nowhere on this page, the article and
-    main elements are taken, else all that is not of another kind.
+    def nearest(self, tags_: tuple[str, ...]) -> int:
+        return max((self.depths[tag][-1] for tag in tags_ if self.depths.get(tag)), default=0)
+
+    def close(self, tags_: tuple[str, ...], limits: tuple[str, ...] = ()) -> list[_Open]:
+        """Close the nearest of these tags and all inside it; nothing beyond a limit."""
+        depth = self.nearest(tags_)
+        if not depth or self.nearest(limits) > depth:
+            return []
+        closed = self.items[depth:]
+        del self.items[depth:]
+        for item in closed:
+            self.depths[item.tag].pop()
+        return closed
+
+
+def blocks(page: str | None) -> list[Block]:
+    """The blocks of a page that may belong to its article, however its tags are closed.
+
+    Menus, forms, notices and the like are left out by their elements and names. Of a page
+    with ``article`` or ``main`` elements that hold text only these count. The time is linear
+    in the page's length.
     """
-    if not page:
-        return ""
-    root = parse(page)
-    path = wrapper["path"] if wrapper else []
-    fixed = set(wrapper["fixed"]) if wrapper else set()
-    regions = [r for r in _regions(root, path) if _holds(r)] if path else []
-    if not regions or not any(r.tag in ARTICLE for r in regions):
-        inner = [a for r in regions or [root] for a in _articles(r) if _holds(a)]
-        regions = inner or regions or [root]
-    blocks: list[str] = []
+    stack = _Stack([_Open("", 0, "", False, False, False)])
+    found: list[Block] = []
     held: list[str] = []
+    place: list[_Open] = []
+    linked = True
 
     def end() -> None:
-        if text := _plain("".join(held)):
-            blocks.append(text)
+        nonlocal linked
+        if held and (text := " ".join(references.unescape("".join(held)).split())):
+            first = place[0] if place else stack.items[-1]
+            found.append(Block(first.path, first.key, text, linked, first.marked))
         held.clear()
+        place.clear()
+        linked = True
+
+    def closed(items: list[_Open]) -> None:
+        if any(item.tag in BLOCK for item in items):
+            end()
+
+    for kind, tag, rest in tags(page or ""):
+        top = stack.items[-1]
+        if kind == "text":
+            if not top.aside:
+                held.append(rest)
+                if rest and not rest.isspace():
+                    place.append(top)
+                    linked = linked and top.link
+            continue
+        if kind == "close":
+            closed(stack.close((tag,)))
+            continue
+        if tag in BLOCK:
+            closed(stack.close(("p",), ("td", "th", "button", "table")))
+        if tag in CLOSES:
+            closed(stack.close(*CLOSES[tag]))
+        top = stack.items[-1]
+        if tag in BLOCK:
+            end()
+        elif not top.aside and (tag == "br" or tag in CELL):
+            held.append(" ")
+        if tag in VOID or tag in RAW or tag not in BLOCK and rest.rstrip().endswith("/"):
+            continue
+        names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(rest)}
+        given = " ".join(names.get(k, "") for k in ("class", "id", "role")).lower()
+        split = given.split()
+        aside = top.aside or tag in ASIDE or "hidden" in names or names.get("aria-hidden", "").lower() == "true"
+        aside = aside or not top.marked and (tag == "header" or "header" in split)
+        if not aside and tag not in ("html", "body") and given.strip():
+            aside = bool(NAMES.search(given)) and (ARTICLE_NAMES.isdisjoint(split) or bool(READERS.search(given)))
+        kinds = _DIGITS.sub("0", " ".join(names.get("class", "").lower().split()))
+        key = f"{tag}.{kinds}" if kinds else tag
+        path = _hash(key, top.path & (1 << 64) - 1)
+        stack.push(_Open(tag, path, key, aside, top.marked or tag in ARTICLE and not aside, top.link or tag == "a"))
+    end()
+    marked = [block for block in found if block.marked]
+    return marked or found
+
+
+def extract(page: str | None, fixed: frozenset = frozenset(), menus: frozenset = frozenset()) -> str:
+    """The article's blocks, joined by empty lines; empty if the page has none.
 
-    def walk(node: Node) -> None:
-        for child in node.inside:
-            if isinstance(child, str):
-                if not fixed or f"{node.key}\t{_plain(child)}" not in fixed:
-                    held.append(child)
-            elif child.aside:
-                if child.tag in BLOCK:
-                    end()
-            elif child.tag in BLOCK:
-                end()
-                walk(child)
-                end()
-            else:
-                if child.tag == "br" or child.tag in CELL:
-                    held.append(" ")
-                walk(child)
-
-    for region in regions:
-        walk(region)
-        end()
-    return "\n\n".join(blocks)
+    ``fixed`` holds the wrapper's (element, text) pairs by hash, ``menus`` the elements that
+    are repeated groups of links. A block goes only if all of it is fixed.
+    """
+    kept = blocks(page)
+    if fixed:
+        kept = [b for b in kept if (b.path, _hash(b.text)) not in fixed]
+    if menus:
+        kept = [b for b in kept if not (b.links and not b.marked and b.path in menus)]
+    return "\n\n".join(b.text for b in kept)
 
 
 def host_of(url: str = "url"):
@@ -294,58 +254,119 @@ def host_of(url: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url", sample: int = 8) -> DataFrame:
-    """``host`` and ``wrapper`` (JSON), from at most ``sample`` different pages of each host.
+def infer_wrappers(
+    pages: DataFrame, html: str = "html", url: str = "url", share: float = 0.9, least: int = 3, most: float = 0.3
+) -> DataFrame:
+    """The wrapper of every host, one row per element that holds text.
 
-    Of the host's pages, those with the smallest hashes count, copies once. Empty pages
-    and pages without a host have no wrapper.
-    """
-    known = pages.select(host_of(url).alias("host"), F.col(html).alias("html"), F.xxhash64(html).alias("hash"))
-    known = known.filter((F.col("host") != "") & (F.col("html") != ""))
-    by_hash = Window.partitionBy("host").orderBy("hash")
-    chosen = (
-        known.select("host", "hash").distinct()
-        .withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= sample).drop("rank")
-    )
-    # One list of at most ``sample`` short rows per host: where it is small, the pages stay
-    # where they are; beyond that Spark joins by shuffling.
-    chosen, state = cut_and_measure(chosen)
-    if state["rows"] <= LISTED_ROWS:
-        chosen = F.broadcast(chosen)
-    few = known.join(chosen, ["host", "hash"], "left_semi").groupBy("host", "hash").agg(F.min("html").alias("html"))
+    ``host``, ``path`` and ``key`` (the element), ``pages`` that have it out of the host's
+    ``of``, ``optional`` and ``repeated``, ``slot`` (some of its texts differ), ``menu`` (a
+    repeated group of links), and ``fixed``: hashes of the texts that at least ``share`` of
+    the pages with this element have in it.
 
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        ordered = group.sort_values("hash")["html"].tolist()
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(infer(ordered))]})
+    All pages of a host count. Copies of a page are one page: pages are told apart by their
+    longest block. An element on fewer than ``least`` different pages has only slots. Where
+    the fixed texts would be more than ``most`` of all text of the host, its pages are near
+    copies of each other and not a template, so nothing is fixed. Empty pages and pages without a host have no
+    wrapper; an empty table gives none.
+    """
 
-    return cut_lineage(few.groupBy("host").applyInPandas(learn, "host string, wrapper string"))
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["host", "path", "text", "page", "key", "size", "links", "times"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        for batch in batches:
+            rows: list[tuple] = []
+            for host, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = blocks(body)
+                if not found:
+                    continue
+                page = _hash(max((b.text for b in found), key=lambda text: (len(text), text)))
+                elements: dict[int, list] = {}
+                texts: dict[tuple[int, int], int] = {}
+                for b in found:
+                    element = elements.setdefault(b.path, [b.key, 0, 0, 0])
+                    element[1] += len(b.text)
+                    element[2] += len(b.text) if b.links and not b.marked else 0
+                    element[3] += 1
+                    texts[b.path, _hash(b.text)] = len(b.text)
+                rows += [(host, path, None, page, key, size, links, times) for path, (key, size, links, times) in elements.items()]
+                rows += [(host, path, text, page, None, size, 0, 1) for (path, text), size in texts.items()]
+            columns = list(zip(*rows)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    known = pages.select(host_of(url).alias("host"), F.col(html).alias("html")).filter((F.col("host") != "") & (F.col("html") != ""))
+    streams = known.mapInArrow(
+        read, "host string, path long, text long, page long, key string, size long, links long, times long"
+    )
+    once = streams.groupBy("host", "path", "text", "page").agg(
+        F.min("key").alias("key"), F.max("size").alias("size"), F.max("links").alias("links"), F.max("times").alias("times")
+    )
+    aligned = cut_lineage(
+        once.groupBy("host", "path", "text").agg(
+            F.count(F.lit(1)).alias("pages"), F.min("key").alias("key"), F.sum("size").alias("size"),
+            F.sum("links").alias("links"), F.max("times").alias("times"),
+        )
+    )
+    elements = aligned.filter(F.col("text").isNull())
+    total = elements.groupBy("host").agg(F.sum("size").alias("__all"), F.max("pages").alias("of"))
+    inside = elements.select("host", "path", F.col("pages").alias("__with"))
+    same = (
+        aligned.filter(F.col("text").isNotNull() & (F.col("pages") >= least))
+        .join(inside, ["host", "path"])
+        .filter(F.col("pages") >= share * F.col("__with"))
+    )
+    copies = (
+        same.groupBy("host").agg(F.sum("size").alias("__same")).join(total, "host")
+        .filter(F.col("__same") > most * F.col("__all")).select("host")
+    )
+    fixed = (
+        same.join(copies, "host", "left_anti").groupBy("host", "path")
+        .agg(F.sort_array(F.collect_list("text")).alias("fixed"), F.sum("size").alias("__fixed"))
+    )
+    return cut_lineage(
+        elements.join(fixed, ["host", "path"], "left").join(total, "host").select(
+            "host", "path", "key", "pages", "of",
+            (F.col("pages") < F.col("of")).alias("optional"),
+            (F.col("times") > 1).alias("repeated"),
+            (F.coalesce("__fixed", F.lit(0)) < F.col("size")).alias("slot"),
+            ((F.col("times") > 1) & (F.col("pages") >= least) & (F.col("links") >= 0.8 * F.col("size"))).alias("menu"),
+            F.coalesce("fixed", F.array().cast("array<long>")).alias("fixed"),
+        )
+    )
 
 
 def extract_pages(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Add ``text`` and ``n_chars`` to every page; columns of these names are replaced.
 
     A null page is empty and has an empty text. Pages of hosts without a wrapper are
-    extracted by the general rules. Repeated rows stay.
+    extracted by elements and names alone. Repeated rows stay.
     """
 
     @F.arrow_udf("string")
-    def main_text(bodies: pa.Array, found: pa.Array) -> pa.Array:
-        read: dict[str, dict] = {}
-        texts = []
-        for body, wrapper in zip(bodies.to_pylist(), found.to_pylist()):
-            if wrapper is not None and wrapper not in read:
-                read[wrapper] = json.loads(wrapper)
-            texts.append(extract(body, read.get(wrapper)))
+    def main_text(bodies: pa.Array, fixed: pa.Array, menus: pa.Array) -> pa.Array:
+        texts, read, last = [], (frozenset(), frozenset()), (None, None)
+        for body, same, links in zip(bodies.to_pylist(), fixed.to_pylist(), menus.to_pylist()):
+            if (same, links) != last:
+                last = same, links
+                read = frozenset((f["path"], text) for f in same or () for text in f["fixed"]), frozenset(links or ())
+            texts.append(extract(body, *read))
         return pa.array(texts, pa.string())
 
     pages = pages.drop("text", "n_chars")
     keyed = pages.withColumn("__host", host_of(url))
-    named = wrappers.select(F.col("host").alias("__of"), F.col("wrapper").alias("__wrapper"))
-    size = wrappers.agg(F.coalesce(F.sum(F.octet_length("host") + F.octet_length("wrapper") + 64), F.lit(0))).first()[0]
+    # Only what changes a page is sent: elements with fixed texts, and menus.
+    used = cut_lineage(
+        wrappers.filter(F.col("menu") | (F.size("fixed") > 0)).groupBy(F.col("host").alias("__of")).agg(
+            F.sort_array(F.collect_list(F.when(F.size("fixed") > 0, F.struct("path", "fixed")))).alias("__fixed"),
+            F.sort_array(F.collect_list(F.when(F.col("menu"), F.col("path")))).alias("__menus"),
+        )
+    )
+    hashes = F.size("__menus") + F.aggregate("__fixed", F.lit(0), lambda n, f: n + 4 + F.size(f["fixed"]))
+    size = used.agg(F.coalesce(F.sum(F.octet_length("__of") + 64 + 8 * hashes), F.lit(0))).first()[0]
     if size <= WRAPPER_BYTES:
-        named = F.broadcast(named)
+        used = F.broadcast(used)
     return (
-        keyed.join(named, F.col("__host") == F.col("__of"), "left")
-        .withColumn("text", main_text(F.col(html), F.col("__wrapper")))
+        keyed.join(used, F.col("__host") == F.col("__of"), "left")
+        .withColumn("text", main_text(F.col(html), F.col("__fixed"), F.col("__menus")))
         .select(*pages.columns, "text", F.length("text").cast("long").alias("n_chars"))
     )
