@@ -9,6 +9,7 @@ occurrence is, without the ids being unpacked.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -141,20 +142,25 @@ class WaveletMatrix:
 
 
 class Encoder:
-    """Ids of a text as little-endian bytes of one width.
-
-    The tokenizer cuts a text into pieces, never inside a word, and merges within a piece
-    only. So a line is cut at its single spaces, and the ids of a word after a space, or
-    at the start of a line, are looked up; the tokenizer encodes each piece once. Texts
-    with other white space are cut by the tokenizer's own rule. Texts with characters
-    outside ``PLAIN``, or with the text of a special token, go to the tokenizer whole.
+    """Ids of texts as little-endian bytes of one width.
+
+    A plain byte-level tokenizer cuts a text into pieces, never inside a word, and merges
+    within a piece only. So a line is cut at its single spaces, and the ids of a word after a
+    space, or at the start of a line, are looked up; the tokenizer encodes each once. Texts with other white space are cut by the
+    tokenizer's own rule. Texts with characters outside ``PLAIN``, or with the text of a
+    special token, go to the tokenizer whole, and so do all texts of a file that is cut
+    or merged in another way.
     """
 
-    def __init__(self, path: str, kind: str = "<u2", remembered: int = 1_000_000):
+    def __init__(self, path: str, kind: str = "<u2", remembered: int = 2_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.code, self.remembered = {2: "H", 4: "I"}[np.dtype(kind).itemsize], remembered
+        self.by_words = self._cuts_at_words(path)
+        # Padding and truncation are no part of a text's ids.
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
         self.merges = self.tokenizer.model
         special = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special) or "(?!)")
@@ -163,11 +169,25 @@ class Encoder:
         self.newline = self._bytes(self._ids("\n"))
         self.forget()
 
+    @staticmethod
+    def _cuts_at_words(path: str) -> bool:
+        """Whether the file's tokenizer works as ``PIECE`` and ``BYTES`` say."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        cutter, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        other = (
+            spec.get("normalizer"), cutter.get("add_prefix_space"), model.get("dropout"), model.get("ignore_merges"),
+            model.get("continuing_subword_prefix"), model.get("end_of_word_suffix"),
+        )
+        rules = (token["lstrip"] or token["rstrip"] or token["single_word"] for token in spec.get("added_tokens") or [])
+        known = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and model.get("type") == "BPE"
+        return bool(known) and not any(other) and not any(rules)
+
     def forget(self) -> None:
         """Known pieces, and the ids of words after a space and at the start of a line."""
         self.known: dict[str, bytes] = {}
-        self.inner: dict[str, bytes | None] = {}
-        self.first: dict[str, bytes | None] = {}
+        self.inner: dict[str, bytes | None] = {"": b""}
+        self.first: dict[str, bytes | None] = {"": b""}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -178,52 +198,55 @@ class Encoder:
             ids.byteswap()
         return ids.tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        for piece in pieces:
+    def _merged(self, spelled: str) -> bytes:
+        return self._bytes([token.id for token in self.merges.tokenize(spelled)])
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.known.get(piece)
+        if found is None:
             spelled = piece.encode().decode("latin-1").translate(BYTES)
-            self.known[piece] = self._bytes([token.id for token in self.merges.tokenize(spelled)])
-
-    def _words(self, words: set[str], table: dict[str, bytes | None], before: str) -> None:
-        cut: dict[str, list[str]] = {}
-        for word in words.difference(table):
-            if self.plain_word.fullmatch(word) and not self.special.search(word):
-                cut[word] = self.pieces.findall(before + word)
-            else:
-                table[word] = None
-        self._learn({piece for pieces in cut.values() for piece in pieces}.difference(self.known))
-        for word, pieces in cut.items():
-            table[word] = b"".join([self.known[piece] for piece in pieces])
+            found = self.known[piece] = self._merged(spelled)
+        return found
+
+    def _word(self, word: str, before: str) -> bytes | None:
+        """Ids of a word after a space or at the start of a line; None if they depend on more."""
+        if self.special.search(word):
+            return None
+        if word.isascii() and word.isalpha():  # one piece, spelled as it is
+            return self._merged(BYTES[32] + word if before else word)
+        if not self.plain_word.fullmatch(word):
+            return None
+        return b"".join([self._piece(piece) for piece in self.pieces.findall(before + word)])
 
     def whole(self, text: str) -> bytes:
         """By the tokenizer's own rule, piece by piece where that is safe."""
-        if not self.plain.fullmatch(text) or self.special.search(text):
+        if not self.by_words or not self.plain.fullmatch(text) or self.special.search(text):
             return self._bytes(self._ids(text))
-        pieces = self.pieces.findall(text)
-        self._learn(set(pieces).difference(self.known))
-        return b"".join([self.known[piece] for piece in pieces])
+        return b"".join([self._piece(piece) for piece in self.pieces.findall(text)])
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) > self.remembered:
+        if len(self.known) + len(self.inner) + len(self.first) > self.remembered:
             self.forget()
-        if not text or text[0].isspace() or text[-1].isspace() or any(gap in text for gap in GAPS):
+        if not self.by_words or not text or text[0].isspace() or text[-1].isspace() or any(gap in text for gap in GAPS):
             return self.whole(text)
         lines = [line.split(" ") for line in text.split("\n")]
-        starts = [line[0] for line in lines]
+        starts = [words[0] for words in lines]
         for words in lines:
             words[0] = ""  # its place; the line's first word is looked up on its own
-        rest = [word for words in lines for word in words]
+        rest = [word for words in lines for word in words] if len(lines) > 1 else lines[0]
         found: list[bytes | None]
         try:
             found = list(map(self.inner.__getitem__, rest))
         except KeyError:
-            self.inner[""] = b""
-            self._words(set(rest), self.inner, " ")
+            for word in set(rest).difference(self.inner):
+                self.inner[word] = self._word(word, " ")
             found = list(map(self.inner.__getitem__, rest))
-        self._words(set(starts), self.first, "")
         at = 0
-        for number, words in enumerate(lines):
-            start = self.first[starts[number]]
-            found[at] = start if start is None or not number else self.newline + start
+        for number, (start, words) in enumerate(zip(starts, lines)):
+            if start not in self.first:
+                self.first[start] = self._word(start, "")
+            ids = self.first[start]
+            found[at] = ids if ids is None or not number else self.newline + ids
             at += len(words)
         try:
             return b"".join(found)

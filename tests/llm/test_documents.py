@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+import json
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -121,6 +123,23 @@ def test_encoder_equals_the_tokenizer(docs):
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == expected, text
 
 
+def test_encoder_of_a_file_with_other_rules(tmp_path):
+    """A tokenizer that is cut in another way gets whole texts; what is remembered stays bounded."""
+    spec = json.loads(Path(TOKENIZER).read_text())
+    spec["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    spec["truncation"] = {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    encoder, plain = token_files.Encoder(str(path)), token_files.Encoder(TOKENIZER, remembered=20)
+    assert not encoder.by_words and plain.by_words
+    for text in ODD:
+        for one in (encoder, plain):
+            assert np.frombuffer(one.encode(text), "<u2").tolist() == one.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode("many more words than three of them") != plain.encode("many more words than three of them")
+    assert len(encoder.encode("a b c d e f")) == 12
+    assert len(plain.known) + len(plain.inner) + len(plain.first) < 60
+
+
 def test_token_files_round_trip(edges):
     from tokenizers import Tokenizer
 
