@@ -36,10 +36,11 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """A row for every copy of a document that the mix takes, in training order.
 
     Documents that it takes nothing of, or less than half, go; those it repeats have a row
-    for each time.
+    for each time. Columns of the documents named like those of the mix stay as they are. A
+    null source is a source; documents without words go; repeated rows count each.
     """
-    mixed = mixing.mix(docs.withColumn("__size", word_count(F.col("text"))), size="__size")
-    return mixing.in_training_order(mixed, "__size").select(*docs.columns)
+    whole = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("row"))
+    return mixing.in_training_order(mixing.mix(whole)).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
