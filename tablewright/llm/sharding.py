@@ -13,7 +13,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import utf8_crc32
 from tablewright.runtime import scratch_path
 
 ROW = "__row"
@@ -56,14 +55,17 @@ def write_shards(
     text count like others, and an empty table gives no row. The number of buckets
     follows from the total size, so a bucket holds about ``bucket_bytes`` or
     ``bucket_rows``, whichever is smaller; one very long text is a bucket of its size.
-    The hash of a row's bucket covers its key and its text, so copies of a text under
-    different keys are scattered. Input order has no influence on the result.
+    The hash of a row's bucket covers all its columns that Spark can hash (no maps), so
+    copies of a text under different keys are scattered, and rows that share key and text
+    keep their order. Input order has no influence on the result but among rows that are
+    equal in all these columns; those stay in one bucket.
     """
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
     total, rows = docs.agg(F.coalesce(F.sum(text_bytes(F.col(text))), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(1, math.ceil(total / shards / bucket_bytes), math.ceil(rows / shards / bucket_rows))
-    row_hash = F.xxhash64(F.lit(seed + 1), F.col(key), utf8_crc32(F.col(text)), text_bytes(F.col(text)))
+    hashed = [field.name for field in docs.schema if "map<" not in field.dataType.simpleString()]
+    row_hash = F.xxhash64(F.lit(seed + 1), *hashed)
     scattered = docs.select(
         shard_of(F.col(key), shards, seed).alias("shard"),
         F.pmod(row_hash, F.lit(buckets)).cast("int").alias("bucket"),

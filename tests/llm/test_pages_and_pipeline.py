@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from tablewright.llm import suite, wrappers
+from tablewright.llm import sharding, suite, wrappers
 
 SMALL, FOLDER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -213,6 +213,28 @@ def test_pipeline_of_an_empty_table(spark):
     assert docs.count() == 0
 
 
+def test_stages_keep_columns_named_like_their_own(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, target string, taken string, position string, size string"
+    rows = [(n, words_of(n, 60 + n), "en", ("a", None)[n % 2], n, f"t{n}", f"k{n}", None, f"s{n}") for n in range(30)]
+    rows += [rows[0], (None, words_of(99, 70), None, None, None, None, None, "p", None), (98, None, None, "a", 1, "t", "k", "p", "s"), (97, "", "en", "a", 1, "t", "k", "p", "s")]
+    docs = spark.createDataFrame(rows, schema)
+    mixed = corpus_pipeline.mix(spark, docs, SMALL)
+    assert mixed.dtypes == docs.dtypes
+    assert {tuple(row) for row in mixed.collect()} <= set(rows)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, docs, SMALL).dtypes == docs.dtypes
+
+
+def test_shards_do_not_depend_on_input_order(spark):
+    """Rows that share key and text but differ elsewhere keep their slots."""
+    rows = [(7, "same text", f"source {n}") for n in range(50)] + [(None, None, f"source {n}") for n in range(20)]
+    found = [
+        {row["source"]: (row["shard"], row["slot"]) for row in sharding.shard(spark.createDataFrame(given, "doc_id long, text string, source string"), 4).filter("text is not null").collect()}
+        for given in (rows, rows[::-1])
+    ]
+    assert found[0] == found[1] and len(found[0]) == 50
+
+
 COLUMNS = {
     "op1_near_duplicates": {"doc_id": "bigint", "class_id": "bigint"},
     "op2_wrappers": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
