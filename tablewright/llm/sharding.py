@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.runtime import scratch_path
+from tablewright.runtime import cut_lineage, scratch_path
 
 ROW = "__row"
 
@@ -89,7 +89,8 @@ def write_shards(
 
     written = spark.read.schema(shuffled.schema).parquet(path)
     in_shard = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
+    # Written down, so that Spark knows the size of these few rows and leaves the others in place.
+    before = cut_lineage(
         written.groupBy("shard", "bucket")
         .count()
         .select("shard", "bucket", F.coalesce(F.sum("count").over(in_shard), F.lit(0)).alias("before"))
