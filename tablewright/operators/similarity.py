@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,18 @@ from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import top_k
 from tablewright.operators.skew import GROUP_ID, GROUP_ROWS, hot_groups, split_hot
 from tablewright.operators.windows import top_n_per_group
-from tablewright.runtime import cut_lineage
+from tablewright.runtime import cut_and_measure, cut_lineage
 
 # Users with more items than this are worked on by several tasks.
 ITEMS_PER_TASK = 5_000
 
+# Pairs that a task forms and adds up; more of them make more tasks, up to a number that Spark can deal to.
+PAIRS_PER_TASK = 1_000_000
+MOST_TASKS = 10_000
+
+# With no more pairs per rating than this, all pairs are formed without looking for a shorter way.
+FEW_PAIRS = 8
+
 
 def rating_moments(ratings: DataFrame, user: str, item: str, value: str) -> DataFrame:
     """One row per (user, item): row count, value count, sum, sum of squares.
@@ -45,15 +54,34 @@ def _side(moments: DataFrame, number: int, keys: list[str]) -> DataFrame:
     )
 
 
-def _paired(moments: DataFrame, items_per_task: int) -> DataFrame:
-    """Each user's items in pairs (item1 < item2); read twice, so it should be written down."""
-    crowded = hot_groups(moments, ["user"], items_per_task)
+def _pair_counts(moments: DataFrame, items_per_task: int) -> tuple[int, float, float]:
+    """The most items of a user, and how many pairs all users and those not cut into blocks form."""
+    items = F.col("_items")
+    formed = items.cast("double") * (items - 1) / 2
+    busy = moments.groupBy("user").agg(F.count(F.lit(1)).alias("_items"))
+    counts = busy.agg(F.max(items), F.sum(formed), F.sum(F.when(items <= items_per_task, formed))).first()
+    return counts[0] or 0, counts[1] or 0.0, counts[2] or 0.0
+
+
+def _paired(moments: DataFrame, items_per_task: int, counts: tuple[int, float, float] | None = None) -> DataFrame:
+    """Each user's items in pairs (item1 < item2); read several times, so it should be written down.
+
+    The users are dealt to as many tasks as their pairs need, so what a task adds up stays
+    small however many users there are.
+    """
+    most, _, formed = counts or _pair_counts(moments, items_per_task)
+    tasks = min(MOST_TASKS, math.ceil(formed / PAIRS_PER_TASK))
+
+    def joined(rows: DataFrame) -> DataFrame:
+        dealt = rows.repartition(tasks, "user") if tasks > 1 else rows
+        return _side(dealt, 1, ["user"]).join(_side(dealt, 2, ["user"]), "user")
+
+    crowded = hot_groups(moments, ["user"], items_per_task) if most > items_per_task else None
     if crowded is None:
-        left, right = _side(moments, 1, ["user"]), _side(moments, 2, ["user"])
-        return left.join(right, "user").filter("item1 < item2").drop("user")
+        return joined(moments).filter("item1 < item2").drop("user")
 
     ordinary, heavy = split_hot(moments, crowded, ["user"])
-    plain = _side(ordinary, 1, ["user"]).join(_side(ordinary, 2, ["user"]), "user")
+    plain = joined(ordinary)
     blocks = F.ceil(F.col(GROUP_ROWS) / F.lit(max(items_per_task, 1))).cast("long")
     cut = heavy.withColumn("_blocks", blocks).withColumn(
         "_own", F.pmod(F.xxhash64("item"), F.col("_blocks"))
@@ -108,16 +136,38 @@ def pruned_similarity(
 ) -> DataFrame:
     """``item_similarity`` of the pairs with more than ``min_pairs`` (0 or more) co-ratings.
 
-    The same rows, without forming all pairs: candidates come from ``candidate_pairs``, and
-    each is worked out over the users of whichever of its items has fewer.
+    The same rows, in whichever way reads fewer: forming all pairs, or taking the candidates
+    of ``candidate_pairs`` and working each out over the users of whichever of its items has
+    fewer. Both numbers are counted before either is done; where all pairs are few, the
+    candidates are not looked for.
     """
-    moments = cut_lineage(rating_moments(ratings, user, item, value))
+    moments, state = cut_and_measure(rating_moments(ratings, user, item, value))
+    counts = _pair_counts(moments, items_per_task)
+    formed = counts[1]
+    if formed > FEW_PAIRS * state["rows"]:
+        turned, checks = _candidates_to_check(moments, min_pairs, items_per_task)
+        if checks < formed:
+            return cosine_similarity(_checked(turned, moments), min_pairs)
+    return cosine_similarity(_paired(moments, items_per_task, counts), min_pairs)
+
+
+def _candidates_to_check(moments: DataFrame, min_pairs: int, items_per_task: int) -> tuple[DataFrame, int]:
+    """Candidates as the item of fewer users and the other, and the users of the former in all."""
     pairs = candidate_pairs(moments, min_pairs, items_per_task)
     sizes = moments.groupBy("item").agg(F.count(F.lit(1)).alias("_users"))
     sized = pairs.join(sizes.toDF("item1", "_users1"), "item1").join(sizes.toDF("item2", "_users2"), "item2")
     swapped = F.col("_users1") > F.col("_users2")
     few, many = F.when(swapped, F.col("item2")).otherwise(F.col("item1")), F.when(swapped, F.col("item1")).otherwise(F.col("item2"))
-    turned = sized.select(swapped.alias("_swapped"), few.alias("_few"), many.alias("_many"))
+    users = F.least("_users1", "_users2")
+    turned, state = cut_and_measure(
+        sized.select(swapped.alias("_swapped"), few.alias("_few"), many.alias("_many"), users.alias("_users")),
+        checks=F.sum("_users"),
+    )
+    return turned.drop("_users"), state["checks"] or 0
+
+
+def _checked(turned: DataFrame, moments: DataFrame) -> DataFrame:
+    """The candidates' pairs of ratings, found from the item of fewer users."""
     a = moments.select("user", F.col("item").alias("_few"), *(F.col(name).alias(f"_a_{name}") for name in _MOMENTS))
     b = moments.select("user", F.col("item").alias("_many"), *(F.col(name).alias(f"_b_{name}") for name in _MOMENTS))
     met = turned.join(a, "_few").join(b, ["_many", "user"])
@@ -128,7 +178,7 @@ def pruned_similarity(
 
     columns = [side(number, "item", "_few", "_many") for number in (1, 2)]
     columns += [side(number, name, f"_a_{name}", f"_b_{name}") for name in _MOMENTS for number in (1, 2)]
-    return cosine_similarity(met.select(*columns), min_pairs)
+    return met.select(*columns)
 
 
 def nearest_items(
@@ -203,7 +253,7 @@ def item_similarity(
 ) -> DataFrame:
     """Cosine similarity of all co-rated item pairs, or of those with item ``only``.
 
-    With ``min_pairs``, pairs that cannot have more co-ratings are never formed.
+    With ``min_pairs``, pairs that cannot have more co-ratings are not formed where that is shorter.
     """
     if only is None and min_pairs is not None and min_pairs >= 0:
         return pruned_similarity(ratings, user, item, value, min_pairs, items_per_task)

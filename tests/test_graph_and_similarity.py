@@ -280,3 +280,24 @@ def test_nearest_items(spark, rows):
     wanted = [(item, near, n + 1) for item, found in best.items() for n, (_, _, near) in enumerate(sorted(found)[:2])]
     found = M.nearest_items(df, "u", "i", "r", k=2, min_score=0.5, min_pairs=3)
     assert rows(found, "item", "neighbour", "rank") == sorted(wanted)
+
+
+def test_candidates_are_not_worked_out_where_all_pairs_are_fewer(spark, monkeypatch):
+    """Users of few items and items of many users: a candidate would be looked up under each of its users."""
+    data = [(u, (u * 7 + n * n) % 10, 1 + (u + n) % 3) for u in range(300) for n in range(3)]
+    df = spark.createDataFrame(data, RATINGS)
+    wanted = {pair: value for pair, value in brute_similarity(data).items() if value[1] > 3}
+    for few in (M.FEW_PAIRS, 0):
+        monkeypatch.setattr(M, "FEW_PAIRS", few)
+        with monkeypatch.context() as only:
+            only.setattr(M, "_checked", None)
+            assert found(M.pruned_similarity(df, "u", "i", "r", 3)) == wanted
+
+
+def test_users_are_dealt_to_more_tasks_when_they_form_more_pairs(spark, monkeypatch):
+    monkeypatch.setattr(M, "PAIRS_PER_TASK", 100)
+    data = [(u, (u + n) % 50, 1 + n) for u in range(100) for n in range(6)]
+    df = spark.createDataFrame(data, RATINGS)
+    pairs = M.item_pairs(df, "u", "i", "r")
+    assert "REPARTITION_BY_NUM" in plan_text(pairs) and pairs.rdd.getNumPartitions() == 15
+    assert found(M.cosine_similarity(pairs)) == brute_similarity(data)
