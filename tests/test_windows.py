@@ -294,3 +294,14 @@ def test_no_task_holds_a_hot_group(spark):
     assert len(sizes) > 40 and max(sizes) <= 1000
     best = W.top_n_per_group(df, "g", ["-v"], 1001, hot_rows=1000)
     assert [row["v"] for row in best.orderBy("rank").collect()] == sorted((r["v"] for r in df.collect()), reverse=True)[:1001]
+
+
+def test_a_low_limit_makes_no_more_blocks_than_tasks(spark, rows):
+    """Ten thousand rows above a limit of one would be 20,000 blocks, each a task and a file."""
+    df = spark.range(10_000).selectExpr("id % 2 AS part", "id", "id % 7 AS value")
+    _, heavy = W._with_blocks(df, ["part"], ["id"], 1)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert heavy.count() == 10_000
+    assert 2 < heavy.select("_block").distinct().count() <= tasks * W.OVERSPLIT
+    best = W.top_n_per_group(df, "part", ["-id"], 1001, hot_rows=1)
+    assert rows(best.filter("rank = 1001"), "part", "id") == [(0, 7998), (1, 7999)]
