@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 from suite.tables import as_long, table
 from tablewright.operators import graph as G
 from tablewright.operators import similarity as M
-from tablewright.runtime import scratch_path
+from tablewright.runtime import dealt, scratch_path
 from tablewright.sinks.files import write_parquet
 
 
+def _lines(spark, folder):
+    """Order lines, dealt to tasks by user and item: sums per pair then need no other shuffle."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    return dealt(lines, table(spark, folder, "lineitem").count(), "l_orderkey", "l_suppkey")
+
+
 def _ratings(spark, folder):
-    return table(spark, folder, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(
+    return _lines(spark, folder).groupBy("l_orderkey", "l_suppkey").agg(
         F.max("l_quantity").cast("long").alias("rating")
     )
 
@@ -27,7 +33,7 @@ def item_similarity(spark, folder):
 
 def item_similarity_repeats(spark, folder):
     """Every order line is a rating, so a user may rate an item several times."""
-    lines = table(spark, folder, "lineitem").select(
+    lines = _lines(spark, folder).select(
         "l_orderkey", "l_suppkey", F.col("l_quantity").cast("long").alias("rating")
     )
     return _rounded(M.item_similarity(lines, "l_orderkey", "l_suppkey", "rating", min_pairs=1))

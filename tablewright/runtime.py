@@ -40,6 +40,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Rows that a task adds up in memory.
+ROWS_PER_TASK = 500_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as its ``rows`` need, as they stand if one is enough.
+
+    Spark merges the parts of a shuffle by their bytes, so that groups of short rows fill
+    a task's memory; it leaves a number of parts that was asked for. Grouping by the keys
+    needs no shuffle afterwards.
+    """
+    parts = -(-rows // ROWS_PER_TASK)
+    return df.repartition(parts, *keys) if parts > 1 else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a result to the shared folder once and go on from the files.
 

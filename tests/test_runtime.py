@@ -82,3 +82,13 @@ def test_no_local_checkpoints_or_driver_loops_in_the_library():
     text = "".join(file.read_text() for file in root.rglob("*.py"))
     for word in ("localCheckpoint", "crossJoin", ".collect()", ".toPandas(", ".rdd"):
         assert word not in text
+
+
+def test_short_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """Sixty parts were merged into one for each core, by their bytes, and each task's memory grew with the rows."""
+    monkeypatch.setattr(runtime, "ROWS_PER_TASK", 1_000)
+    df = spark.range(60_000).selectExpr("id % 500 AS k", "id AS v")
+    summed = runtime.dealt(df, 60_000, "k").groupBy("k").count()
+    assert summed.rdd.getNumPartitions() == 60
+    assert summed.count() == 500 and summed.agg({"count": "sum"}).first()[0] == 60_000
+    assert runtime.dealt(df, 1_000, "k") is df
