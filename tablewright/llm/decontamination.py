@@ -10,6 +10,9 @@ expressions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,43 +34,35 @@ NUMBER, UNIT, NAME = "#number", "#unit", "#name"
 
 
 def _tokens(docs: DataFrame, text: str) -> DataFrame:
-    """Columns of ``docs``, ``__raw`` tokens, and their templates ``__plain`` and ``__named``.
+    """Columns of ``docs``, ``__raw`` tokens, their templates ``__plain``, and ``__fixed`` and ``__name``.
 
-    In the first template numbers, and units next to them, are placeholders and case is
-    ignored. In the second, capitalised words are placeholders too.
+    In the templates numbers, and units next to them, are placeholders and case is ignored.
+    ``__fixed`` is 1 for tokens that are no placeholder. ``__name`` marks capitalised words,
+    which a second template replaces too.
     """
     raw = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0))
     units = F.array(*[F.lit(unit) for unit in UNITS])
-    first = F.substring
 
     def digit(token: Column) -> Column:
-        start = first(token, 1, 1)
-        return ((start >= "0") & (start <= "9")) | ((start > "°") & start.rlike(r"^\p{N}"))
+        # ":" follows "9" and "±" follows "°", the last token that is neither number nor word.
+        return F.when(token < ":", token >= "0").otherwise((token >= "±") & token.rlike(r"^\p{N}"))
 
     def plain(token: Column, at: Column) -> Column:
-        beside = digit(F.coalesce(F.get("__raw", at - 1), F.lit(""))) | digit(F.coalesce(F.get("__raw", at + 1), F.lit("")))
-        return (
-            F.when(digit(token), NUMBER)
-            .when(beside & F.array_contains(units, F.lower(token)), UNIT)
-            .otherwise(F.lower(token))
-        )
-
-    def named(token: Column, at: Column) -> Column:
-        literal = F.get("__plain", at)
-        return F.when((literal != token) & ~literal.startswith("#"), NAME).otherwise(literal)
+        # Outside the array a neighbour is null, and a null condition is none.
+        beside = F.get("__digit", at - 1) | F.get("__digit", at + 1)
+        lower = F.lower(token)
+        return F.when(F.get("__digit", at), NUMBER).when(beside & F.array_contains(units, lower), UNIT).otherwise(lower)
 
     return (
         docs.withColumn("__raw", raw)
+        .withColumn("__digit", F.transform("__raw", digit))
         .withColumn("__plain", F.transform("__raw", plain))
-        .withColumn("__named", F.transform("__plain", lambda t, i: named(F.get("__raw", i), i)))
+        .withColumn("__fixed", F.transform("__plain", lambda token: (~token.startswith("#")).cast("int")))
+        .withColumn("__name", F.zip_with("__raw", "__plain", lambda token, literal: (literal != token) & ~literal.startswith("#")))
+        .drop("__digit")
     )
 
 
-def _hashed(template: str) -> Column:
-    """Hash of every token; 0 for placeholders is kept apart by a second array."""
-    return F.transform(template, lambda token: F.xxhash64(token))
-
-
 def _windows(docs: DataFrame, text: str) -> DataFrame:
     """Columns of ``docs``, ``__raw`` and ``__found``, an array of (at, hash) of windows.
 
@@ -77,29 +72,28 @@ def _windows(docs: DataFrame, text: str) -> DataFrame:
     """
     prepared = (
         _tokens(docs, text)
-        .withColumn("__a", _hashed("__plain"))
-        .withColumn("__b", _hashed("__named"))
-        .withColumn("__fixed_a", F.transform("__plain", lambda t: (~t.startswith("#")).cast("int")))
-        .withColumn("__fixed_b", F.transform("__named", lambda t: (~t.startswith("#")).cast("int")))
+        .withColumn("__a", F.transform("__plain", lambda token: F.xxhash64(token)))
+        .withColumn("__b", F.zip_with("__a", "__name", lambda one, named: F.when(named, F.xxhash64(F.lit(NAME))).otherwise(one)))
     )
 
     def window(kind: str, at: Column) -> Column:
         return F.struct(at.alias("at"), F.xxhash64(*[F.get(kind, at + step) for step in range(WINDOW)]).alias("hash"))
 
-    def enough(kind: str, at: Column) -> Column:
-        total = F.get(kind, at)
-        for step in range(1, WINDOW):
-            total = total + F.get(kind, at + step)
-        return total
+    def each(kind: str, at: Column) -> list[Column]:
+        return [F.get(kind, at + step) for step in range(WINDOW)]
+
+    def enough(at: Column) -> Column:
+        return reduce(add, each("__fixed", at)) >= LITERALS
+
+    def enough_but_names(at: Column) -> Column:
+        names = [named.cast("int") for named in each("__name", at)]
+        return reduce(add, each("__fixed", at)) - reduce(add, names) >= LITERALS
 
     last = F.size("__raw") - WINDOW
     places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    plain = F.transform(F.filter(places, lambda at: enough("__fixed_a", at) >= LITERALS), lambda at: window("__a", at))
+    plain = F.transform(F.filter(places, enough), lambda at: window("__a", at))
     masked = F.transform(
-        F.filter(
-            places,
-            lambda at: (enough("__fixed_b", at) >= LITERALS) & (enough("__fixed_b", at) < enough("__fixed_a", at)),
-        ),
+        F.filter(places, lambda at: reduce(or_, each("__name", at)) & enough_but_names(at)),
         lambda at: window("__b", at),
     )
     return prepared.withColumn("__found", F.concat(plain, masked)).select(*docs.columns, "__raw", "__found")

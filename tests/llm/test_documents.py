@@ -633,3 +633,15 @@ def test_contamination_of_empty_tables(spark, empty, docs):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontamination.contaminated(empty, bench).count() == 0
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_templates_of_odd_tokens(spark):
+    """Digits of any script are numbers, units count beside numbers only, names are capitalised words."""
+    text = "Run 5 Km, a km, ° 3 ² £ 4 KG Ünï ½ ١ l Ab"
+    row = decontamination._tokens(spark.createDataFrame([(1, text), (2, None)], "id int, text string"), "text").orderBy("id").collect()
+    assert row[0]["__plain"] == (
+        ["run", "#number", "#unit", "a", "km", "#unit", "#number", "#number", "#unit", "#number", "#unit", "ünï", "#number", "#number", "#unit", "ab"]
+    )
+    assert [token for token, named in zip(row[0]["__raw"], row[0]["__name"]) if named] == ["Run", "Ünï", "Ab"]
+    assert [0 if token.startswith("#") else 1 for token in row[0]["__plain"]] == row[0]["__fixed"]
+    assert row[1]["__plain"] == row[1]["__name"] == []
