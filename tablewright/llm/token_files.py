@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tablewright.llm.common import utf8_crc32
 from tablewright.runtime import scratch_path
 
 BLOCK = 512  # bits per entry of the rank directory
+SLICE = 1 << 23  # bytes of the texts that are encoded together
 
 # Characters whose class is the same in every version of Unicode, white space left out.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -37,8 +39,10 @@ BYTES = {
     byte: chr(0x100 + number)
     for number, byte in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))
 }
-# White space that is more than a single space or line end between words.
-GAPS = ("  ", " \n", "\n ", "\n\n")
+# The same for the characters of ``PLAIN`` and white space; others keep their spelling.
+SPELLED = {
+    number: "".join(BYTES.get(byte, chr(byte)) for byte in chr(number).encode()) for number in range(0x250)
+}
 
 
 class WaveletMatrix:
@@ -145,9 +149,11 @@ class Encoder:
     """Ids of texts as little-endian bytes of one width.
 
     A plain byte-level tokenizer cuts a text into pieces, never inside a word, and merges
-    within a piece only. So a line is cut at its single spaces, and the ids of a word after a
-    space, or at the start of a line, are looked up; the tokenizer encodes each once. Texts with other white space are cut by the
-    tokenizer's own rule. Texts with characters outside ``PLAIN``, or with the text of a
+    within a piece only. So texts are cut at their single spaces and line ends, and the ids of
+    a word after a space, or after a line end, are looked up; the tokenizer encodes each once,
+    and those not met of late go first when too many are known. Many texts are encoded together:
+    Arrow cuts them, and each different word is looked up once. Texts with other white space are
+    cut by the tokenizer's own rule. Texts with characters outside ``PLAIN``, or with the text of a
     special token, go to the tokenizer whole, and so do all texts of a file that is cut
     or merged in another way.
     """
@@ -162,9 +168,11 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.merges = self.tokenizer.model
-        special = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(special) or "(?!)")
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
+        self.special_letters = any(map(str.isalpha, special))
         self.pieces = re.compile(PIECE)
+        self.letters = re.compile(f"([{LETTERS}]+)([.,;:!?]?)")
         self.plain_word, self.plain = re.compile(f"[{PLAIN}]+"), re.compile(rf"[\s{PLAIN}]*", re.ASCII)
         self.newline = self._bytes(self._ids("\n"))
         self.forget()
@@ -184,10 +192,13 @@ class Encoder:
         return bool(known) and not any(other) and not any(rules)
 
     def forget(self) -> None:
-        """Known pieces, and the ids of words after a space and at the start of a line."""
+        """Known pieces, words after a space or line end, and words that were met first: those of an earlier time.
+
+        A word that must not be encoded on its own has no ids.
+        """
         self.known: dict[str, bytes] = {}
-        self.inner: dict[str, bytes | None] = {"": b""}
-        self.first: dict[str, bytes | None] = {"": b""}
+        self.inner: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -204,19 +215,32 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         found = self.known.get(piece)
         if found is None:
-            spelled = piece.encode().decode("latin-1").translate(BYTES)
-            found = self.known[piece] = self._merged(spelled)
+            found = self.known[piece] = self._merged(piece.translate(SPELLED))
         return found
 
-    def _word(self, word: str, before: str) -> bytes | None:
-        """Ids of a word after a space or at the start of a line; None if they depend on more."""
-        if self.special.search(word):
-            return None
-        if word.isascii() and word.isalpha():  # one piece, spelled as it is
-            return self._merged(BYTES[32] + word if before else word)
-        if not self.plain_word.fullmatch(word):
-            return None
-        return b"".join([self._piece(piece) for piece in self.pieces.findall(before + word)])
+    def _met(self, word: str) -> bytes:
+        """Ids of a word that is perhaps not known."""
+        ids = self.inner.get(word)
+        if ids is None:
+            ids = self.first.get(word)
+            self.inner[word] = ids = self._word(word) if ids is None else ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word after a space, or after the line end it begins with; none if they depend on more."""
+        usual = self.letters.fullmatch(word)
+        if usual and not self.special_letters:
+            letters, tail = usual.groups()
+            if not tail:  # one piece
+                return self._merged(SPELLED[32] + (word if word.isascii() else word.translate(SPELLED)))
+            if not self.special.search(word):
+                return self._met(letters) + self._piece(tail)
+        begins_line = word.startswith("\n")
+        if not self.plain_word.fullmatch(word, int(begins_line)) or self.special.search(word):
+            return b""
+        if begins_line:
+            return self.newline + b"".join(map(self._piece, self.pieces.findall(word, 1)))
+        return b"".join(map(self._piece, self.pieces.findall(" " + word)))
 
     def whole(self, text: str) -> bytes:
         """By the tokenizer's own rule, piece by piece where that is safe."""
@@ -225,33 +249,43 @@ class Encoder:
         return b"".join([self._piece(piece) for piece in self.pieces.findall(text)])
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) + len(self.inner) + len(self.first) > self.remembered:
+        return next(self.encode_all(pa.array([text])))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text; a null text counts as empty."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < len(texts):
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+            yield from self._encode_slice(pc.fill_null(texts.slice(begin, end - begin), ""))
+            begin = end
+
+    def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:
+        if not self.by_words:
+            yield from map(self.whole, texts.to_pylist())
+            return
+        if 2 * (len(self.known) + len(self.inner)) > self.remembered:
+            late = self.inner
             self.forget()
-        if not self.by_words or not text or text[0].isspace() or text[-1].isspace() or any(gap in text for gap in GAPS):
-            return self.whole(text)
-        lines = [line.split(" ") for line in text.split("\n")]
-        starts = [words[0] for words in lines]
-        for words in lines:
-            words[0] = ""  # its place; the line's first word is looked up on its own
-        rest = [word for words in lines for word in words] if len(lines) > 1 else lines[0]
-        found: list[bytes | None]
-        try:
-            found = list(map(self.inner.__getitem__, rest))
-        except KeyError:
-            for word in set(rest).difference(self.inner):
-                self.inner[word] = self._word(word, " ")
-            found = list(map(self.inner.__getitem__, rest))
-        at = 0
-        for number, (start, words) in enumerate(zip(starts, lines)):
-            if start not in self.first:
-                self.first[start] = self._word(start, "")
-            ids = self.first[start]
-            found[at] = ids if ids is None or not number else self.newline + ids
-            at += len(words)
-        try:
-            return b"".join(found)
-        except TypeError:  # some word must not be encoded on its own
-            return self.whole(text)
+            self.first = late
+        lines = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        cut = pc.split_pattern(lines, " ")
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.inner.get, words))
+        for place in [place for place, ids in enumerate(found) if ids is None]:
+            found[place] = self._met(words[place])
+        known = pa.array(found, pa.large_binary())
+        stops = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        alone = pc.equal(pc.binary_length(known), 0).take(coded.indices).to_numpy(zero_copy_only=False)
+        mixed = set((np.searchsorted(stops, np.flatnonzero(alone), side="right") - 1).tolist())
+        ids = known.take(coded.indices)
+        stops = np.frombuffer(ids.buffers()[1], np.int64)[stops].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        for row, (start, stop) in enumerate(zip(stops, stops[1:])):
+            # Some texts have words that must not be encoded on their own.
+            yield self.whole(texts[row].as_py()) if row in mixed else bytes(raw[start + len(self.newline) : stop])
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -325,11 +359,9 @@ def write_tokens(
 
         for batch in batches:
             begun = 0
-            texts = batch.column("text")
-            for row in range(batch.num_rows):
-                ids = encoder.encode(texts[row].as_py() or "") + last
-                pieces.append(ids)
-                lengths.append(len(ids) // width)
+            for row, ids in enumerate(encoder.encode_all(batch.column("text"))):
+                pieces += ids, last
+                lengths.append(len(ids) // width + 1)
                 held += lengths[-1]
                 if held >= shard_tokens:
                     keys.append(batch.column("key").slice(begun, row + 1 - begun))

@@ -140,6 +140,34 @@ def test_encoder_of_a_file_with_other_rules(tmp_path):
     assert len(plain.known) + len(plain.inner) + len(plain.first) < 60
 
 
+def test_encoder_of_many_texts(monkeypatch):
+    """Texts encoded together are cut at any byte; a word is merged once, whatever sign follows it."""
+    texts = [None, *ODD, "élan vital, élan!", "Zürich\nélan élan. Zürich", *ODD]
+    encoder = token_files.Encoder(TOKENIZER)
+    expected = [encoder.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+    for size in (1, 20, 1 << 20):
+        monkeypatch.setattr(token_files, "SLICE", size)
+        for remembered in (6, 2_000_000):
+            encoder = token_files.Encoder(TOKENIZER, remembered=remembered)
+            for part in (pa.array(texts), pa.array(["", "x  y", *texts]).slice(2)):
+                found = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode_all(part)]
+                assert found == expected
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    merged, merge = [], encoder._merged
+    monkeypatch.setattr(encoder, "_merged", lambda spelled: merged.append(spelled) or merge(spelled))
+    list(encoder.encode_all(pa.array(["the quag, quag", "a quag. quag!", "the quag"])))
+    assert sum("quag" in spelled for spelled in merged) == 1
+
+
+def test_words_met_of_late_stay_known(monkeypatch):
+    encoder = token_files.Encoder(TOKENIZER, remembered=20)
+    merged, merge = [], encoder._merged
+    monkeypatch.setattr(encoder, "_merged", lambda spelled: merged.append(spelled) or merge(spelled))
+    for number in range(100):
+        encoder.encode(f"x always {chr(97 + number % 26)}{number}")
+    assert sum("always" in spelled for spelled in merged) == 1
+
+
 def test_token_files_round_trip(edges):
     from tokenizers import Tokenizer
 
