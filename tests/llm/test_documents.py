@@ -356,6 +356,20 @@ def test_learned_cut_against_plain_python(spark, docs):
     assert quality_rules.learned_cut(known, ratios, buckets=512).first()["cut"] == pytest.approx(expected, abs=1e-5)
 
 
+def test_quality_rules_count_the_corpus_once(spark, tmp_path):
+    """The last step reads the ratios from files; it doesn't count all words again for them."""
+    from tablewright.llm import suite
+
+    spark.createDataFrame([(n, f"some words of text {n} " * 20) for n in range(30)], "doc_id long, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(n, n % 2) for n in range(30)], "doc_id long, quality int") \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    rows = suite.op8_quality_rules(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "labels" not in plan
+    assert rows.count() == 30
+
+
 def test_learned_cut_without_a_label(edges, empty):
     ratios = quality_rules.likelihood_ratios(empty, edges)
     for label in (0, 1):
