@@ -11,9 +11,9 @@ expressions.
 from __future__ import annotations
 
 from functools import reduce
-from operator import add, or_
+from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.runtime import cut_and_measure
@@ -64,39 +64,31 @@ def _tokens(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _windows(docs: DataFrame, text: str) -> DataFrame:
-    """Columns of ``docs``, ``__raw`` and ``__found``, an array of (at, hash) of windows.
+    """Columns of ``docs``, ``__raw``, ``at`` and ``hashes``: a row per place of a window.
 
-    Each place has the plain window and, where that differs, the one with names replaced.
-    A window with fewer than ``LITERALS`` tokens outside placeholders matches anything and
-    is none.
+    ``hashes`` has the hash of the plain window and, where that differs, of the one with
+    names replaced; null stands for a window with fewer than ``LITERALS`` tokens outside
+    placeholders, which matches anything and is none. Texts too short for a window leave one
+    row without a place. Windows are formed from rows: Spark compiles that, but not the
+    functions of arrays.
     """
-    prepared = (
-        _tokens(docs, text)
-        .withColumn("__a", F.transform("__plain", lambda token: F.xxhash64(token)))
-        .withColumn("__b", F.zip_with("__a", "__name", lambda one, named: F.when(named, F.xxhash64(F.lit(NAME))).otherwise(one)))
-    )
-
-    def window(kind: str, at: Column) -> Column:
-        return F.struct(at.alias("at"), F.xxhash64(*[F.get(kind, at + step) for step in range(WINDOW)]).alias("hash"))
-
-    def each(kind: str, at: Column) -> list[Column]:
-        return [F.get(kind, at + step) for step in range(WINDOW)]
-
-    def enough(at: Column) -> Column:
-        return reduce(add, each("__fixed", at)) >= LITERALS
-
-    def enough_but_names(at: Column) -> Column:
-        names = [named.cast("int") for named in each("__name", at)]
-        return reduce(add, each("__fixed", at)) - reduce(add, names) >= LITERALS
-
+    prepared = _tokens(docs, text).withColumn("__code", F.transform("__plain", lambda token: F.xxhash64(token)))
     last = F.size("__raw") - WINDOW
-    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    plain = F.transform(F.filter(places, enough), lambda at: window("__a", at))
-    masked = F.transform(
-        F.filter(places, lambda at: reduce(or_, each("__name", at)) & enough_but_names(at)),
-        lambda at: window("__b", at),
+    places = F.when(last >= 0, F.sequence(F.lit(0), last))
+    # The outer forms of explode keep Spark from filtering on their arrays first, which
+    # would compute them a second time.
+    rows = prepared.select(*docs.columns, "__raw", "__code", "__name", F.explode_outer(places).alias("at"))
+    codes = [F.get("__code", F.col("at") + step) for step in range(WINDOW)]
+    named = [F.get("__name", F.col("at") + step) for step in range(WINDOW)]
+    number, unit, name = (F.xxhash64(F.lit(word)) for word in (NUMBER, UNIT, NAME))
+    fixed = reduce(add, [((code != number) & (code != unit)).cast("int") for code in codes])
+    names = reduce(add, [mark.cast("int") for mark in named])
+    masked = [F.when(mark, name).otherwise(code) for mark, code in zip(named, codes)]
+    hashes = F.array(
+        F.when(fixed >= LITERALS, F.xxhash64(*codes)),
+        F.when((names > 0) & (fixed - names >= LITERALS), F.xxhash64(*masked)),
     )
-    return prepared.withColumn("__found", F.concat(plain, masked)).select(*docs.columns, "__raw", "__found")
+    return rows.select(*docs.columns, "__raw", "at", hashes.alias("hashes"))
 
 
 def _values(raw: str, at: Column) -> Column:
@@ -107,16 +99,16 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
     """The benchmark's windows, written down once, and their number: item, of (windows of
     the item), at, hash, and the tokens as they stand."""
     named = benchmark.select(F.col(item).alias("item"), F.col(text).alias("body")).dropDuplicates()
-    prepared = _windows(named, "body")
-    # The outer forms of explode and inline keep Spark from filtering on their arrays first,
-    # which would compute them a second time.
-    rows = prepared.select(
-        "item", F.xxhash64("body").alias("item_text"),
-        F.size(F.array_distinct(F.transform("__found", lambda w: w["at"]))).alias("of"),
-        "__raw", F.explode_outer("__found").alias("w"),
-    ).filter("w is not null").select(
-        "item", "item_text", "of", F.col("w.at").alias("item_at"), F.col("w.hash").alias("item_hash"),
-        _values("__raw", F.col("w.at")).alias("item_values"),
+    places = (
+        _windows(named, "body")
+        .filter(F.coalesce(F.get("hashes", F.lit(0)), F.get("hashes", F.lit(1))).isNotNull())
+        .select("item", F.xxhash64("body").alias("item_text"), "at", "hashes", _values("__raw", F.col("at")).alias("item_values"))
+    )
+    of = F.count(F.lit(1)).over(Window.partitionBy("item", "item_text")).cast("int")
+    rows = (
+        places.withColumn("of", of)
+        .select("item", "item_text", "of", F.col("at").alias("item_at"), F.explode_outer("hashes").alias("item_hash"), "item_values")
+        .filter("item_hash IS NOT NULL")
     )
     written, measured = cut_and_measure(rows)
     return written, measured["rows"]
@@ -156,9 +148,9 @@ def contaminated(
     word = F.get(_bitmap(windows, bits).scalar(), (place / 64).cast("int"))
     passed = F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
     hits = (
-        prepared.select("__key", F.xxhash64("__text").alias("__doc_text"), "__raw", F.inline_outer("__found"))
+        prepared.select("__key", "__text", "__raw", "at", F.explode_outer("hashes").alias("hash"))
         .filter(passed)
-        .select("__key", "__doc_text", "at", "hash", _values("__raw", F.col("at")).alias("values"))
+        .select("__key", F.xxhash64("__text").alias("__doc_text"), "at", "hash", _values("__raw", F.col("at")).alias("values"))
     )
     matched = hits.join(windows, hits["hash"] == windows["item_hash"])
     pairs = F.filter(

@@ -14,6 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tablewright.llm import (
     decontamination, language, mixing, near_dups, quality_model, quality_rules, sharding, token_files, toxicity,
@@ -677,6 +678,26 @@ def test_contamination_of_empty_tables(spark, empty, docs):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_windows_are_rows(spark):
+    """A row per place with the hash of each kind of window; no function of arrays reads a window's tokens."""
+    texts = {1: "one Two three 4 Km five six", 2: "1 2 3 4 5 six", 3: "a b c d E", 4: "a b c d", 5: "", 6: None}
+    docs = spark.createDataFrame([*texts.items()], "id int, text string")
+    windows = decontamination._windows(docs, "text")
+    expected = {
+        (1, 0): ("one two three #number #unit", None), (1, 1): ("two three #number #unit five", None),
+        (1, 2): ("three #number #unit five six", None), (2, 0): (None, None), (2, 1): (None, None),
+        (3, 0): ("a b c d e", "a b c d #name"), (4, None): (None, None), (5, None): (None, None), (6, None): (None, None),
+    }
+    kinds = {text for pair in expected.values() for text in pair if text}
+    words = spark.createDataFrame([(text, *text.split()) for text in kinds], "text string, a string, b string, c string, d string, e string")
+    hashes = {row[0]: row[1] for row in words.select("text", F.xxhash64(*[F.xxhash64(word) for word in "abcde"])).collect()}
+    got = {(row["id"], row["at"]): tuple(row["hashes"]) for row in windows.collect()}
+    assert got == {place: tuple(hashes.get(text) for text in pair) for place, pair in expected.items()}
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = decontamination.contaminated(docs.withColumnRenamed("id", "doc_id"), bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(" in plan and "transform(filter(" not in plan
+
+
 def test_templates_of_odd_tokens(spark):
     """Digits of any script are numbers, units count beside numbers only, names are capitalised words."""
     text = "Run 5 Km, a km, ° 3 ² £ 4 KG Ünï ½ ١ l Ab"
