@@ -6,13 +6,13 @@ from collections.abc import Iterator
 from functools import reduce
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.joins import lookup
 from tablewright.operators.ordering import min_ties, top_k
 from tablewright.operators.skew import GROUP_ROWS, hot_groups
-from tablewright.runtime import cut_and_measure, cut_in_buckets
+from tablewright.runtime import cut_and_measure, cut_in_buckets, cut_lineage
 
 # Distance given to vertices that were not reached.
 UNREACHED = 9999
@@ -96,6 +96,25 @@ class _Edges:
             ahead = frontier.join(self.hubs, "id", "left").select(F.col("id").alias("src"), shares.alias("share"))
         return self.table.join(ahead, self.keys).groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("ways"))
 
+    def balanced(self) -> bool:
+        """Whether every vertex is as often a source as a target, by four 32-bit sums of its hashes.
+
+        So it is where each edge also goes back. Edges of which this is not true have other
+        sums, but for a chance of 2^-128.
+        """
+        def parts(column: str) -> list[Column]:
+            hashes = [F.xxhash64(column), F.xxhash64(column, F.lit(1))]
+            return [part for one in hashes for part in (F.shiftright(one, 32), one.bitwiseAND(F.lit(0xFFFFFFFF)))]
+
+        # A sum too large for 64 bits is null.
+        sums = [F.try_sum(out - into) for out, into in zip(parts("src"), parts("dst"))]
+        return all(total == 0 for total in self.table.agg(*sums).first())
+
+    def vertices(self) -> DataFrame:
+        """Different vertices: the sources where they lie, and the targets only where one may be no source."""
+        sources = self.table.select(F.col("src").alias("id")).distinct()
+        return sources if self.balanced() else sources.union(self.table.select("dst")).distinct()
+
 
 class _Seen:
     """Vertices met so far: recent rounds as they were written, older ones in buckets of id.
@@ -202,10 +221,13 @@ def bfs_distances(
     reached = seen.all() if seen else None
     if not keep_unreached:
         return reached
-    every = laid.table.select(F.col("src").alias("id")).union(laid.table.select("dst"))
+    rest = laid.vertices()
     if vertices is not None:
-        every = every.union(vertices.select(F.col(vertices.columns[0]).cast(every.schema["id"].dataType)))
-    rest = every.filter("id IS NOT NULL").distinct().join(reached, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
+        # What is given is left out of the edges' vertices, which then stay where they lie.
+        given = vertices.select(F.col(vertices.columns[0]).cast(rest.schema["id"].dataType).alias("id"))
+        given = cut_lineage(given.filter("id IS NOT NULL").distinct())
+        rest = rest.join(given, "id", "left_anti").union(given)
+    rest = rest.join(reached, "id", "left_anti").withColumn("distance", F.lit(UNREACHED))
     return reached.unionByName(rest)
 
 

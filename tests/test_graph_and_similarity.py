@@ -190,6 +190,23 @@ def test_search_has_no_limit_unless_asked(spark, rows):
     assert {r[0]: r[1] for r in found.collect()} == {**{n: n if n < 3 else 9999 for n in range(15)}, 99: 9999}
 
 
+@pytest.mark.parametrize("back", [True, False])
+def test_unreached_vertices_of_edges_that_go_back(spark, tmp_path, back):
+    """Where each edge also goes back, the targets are not shuffled to know the vertices; else they are."""
+    pairs = [(n, n + 1) for n in range(0, 40, 2)] + [(0, 1), (1, 3), (100, 100)]
+    pairs += [(b, a) for a, b in pairs] if back else [(7, 200)]
+    edges = spark.createDataFrame([*pairs, (None, 5), (5, None)], "src long, dst long")
+    laid = G._Edges(edges, "src", "dst", 1000, 4)
+    assert laid.balanced() == back
+    assert sorted(row[0] for row in laid.vertices().collect()) == sorted({end for pair in pairs for end in pair})
+    assert ("Union" not in laid.vertices()._jdf.queryExecution().optimizedPlan().toString()) == back
+    alone = spark.createDataFrame([(300,), (300,), (3,), (22,), (None,)], "id long")
+    found = G.bfs_distances(edges, 0, keep_unreached=True, vertices=alone).collect()
+    near = {0: 0, 1: 1, 3: 2, 2: 3} if back else {0: 0, 1: 1, 3: 2}
+    every = {end for pair in pairs for end in pair} | {300}
+    assert sorted(found) == sorted((n, near.get(n, G.UNREACHED)) for n in every)
+
+
 def test_blank_lines_are_no_vertices(spark, rows):
     lines = spark.createDataFrame([("1 2 3",), ("",), ("  ",), ("7",)], "value string")
     assert rows(G.degree(lines)) == [(1, 2), (7, 0)]
