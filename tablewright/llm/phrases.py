@@ -18,7 +18,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +35,9 @@ SIDE = 256  # ids along a tile's side
 DENSE = SIDE * SIDE // 4  # pairs from which a tile is counted cell by cell
 BUFFER = 3 << 19  # pairs counted at a time
 SLICE = 2 << 20  # bytes of text cut into words at a time
+STEP = 1 << 18  # bytes of a slice coded at a time
+TILES = 1 << 20  # tiles of a square up to which each has a counter
+ROWS = 1 << 16  # rows handed to Spark at a time
 RANKED = 1 << 20  # items of a level that are sent to the tasks
 
 
@@ -64,6 +66,17 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
+def _sums(data: np.ndarray, place: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Each word's sum of the random numbers of its bytes; ``place`` counts within the word."""
+    sums = np.empty(len(begins), np.uint64)
+    cuts = np.unique(np.searchsorted(begins, np.arange(0, len(data) + STEP, STEP)))
+    for one, other in zip(cuts[:-1], cuts[1:]):
+        low, high = begins[one], begins[other] if other < len(begins) else len(data)
+        values = VALUES[place[low:high] & (PLACES - 1), data[low:high]]
+        sums[one:other] = np.add.reduceat(values, begins[one:other] - low)
+    return sums
+
+
 def cut_words(texts: pa.Array, langs: pa.Array) -> Words:
     """All words of the texts in order; a word's code depends on its text's language.
 
@@ -82,8 +95,11 @@ def cut_words(texts: pa.Array, langs: pa.Array) -> Words:
         nothing = np.zeros(0, np.int64)
         return Words(nothing.astype(np.uint64), nothing, nothing, nothing.astype(bool), data)
     at = np.arange(len(data), dtype=np.int32)
-    place = at - np.maximum.accumulate(np.where(starts, at, 0))
-    codes = np.add.reduceat(VALUES[place & (PLACES - 1), data], begins)
+    place = np.where(starts, at, np.int32(0))
+    np.maximum.accumulate(place, out=place)
+    np.subtract(at, place, out=place)
+    codes = _sums(data, place, begins)
+    del at, place
     closes = inside.copy()
     closes[:-1] &= ~inside[1:]
     later = first[first > 0] - 1
@@ -114,19 +130,26 @@ def tile_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     if not len(left):
         return left, right, np.zeros(0, np.int64)
     across = int(max(left.max(), right.max())) // SIDE + 1
-    tiles = left // SIDE * across + right // SIDE
-    if across <= 4096:
-        filled = np.flatnonzero(np.bincount(tiles) >= DENSE)
+    # Numbers of 32 bits while they hold every tile, so that the work arrays stay small.
+    kind = np.int32 if across <= 1 << 15 else np.int64
+    left, right = left.astype(kind, copy=False), right.astype(kind, copy=False)
+    tiles = left // SIDE * across
+    tiles += right // SIDE
+    if across * across <= TILES:
+        filled = np.flatnonzero(np.bincount(tiles) >= DENSE).astype(kind)
     else:
         numbers, sizes = np.unique(tiles, return_counts=True)
         filled = numbers[sizes >= DENSE]
     cells, counts = [], []
-    dense = np.searchsorted(filled, tiles)
     if len(filled):
+        dense = np.searchsorted(filled, tiles).astype(np.uint16)
         hit = filled[np.minimum(dense, len(filled) - 1)] == tiles
-        where = np.flatnonzero(hit)
-        where = where[np.argsort(dense[where].astype(np.uint16), kind="stable")]
-        bounds = np.searchsorted(dense[where], np.arange(len(filled) + 1))
+        del tiles
+        where = np.flatnonzero(hit).astype(np.uint32)
+        dense = dense[where]
+        turn = np.argsort(dense, kind="stable")
+        where, bounds = where[turn], np.searchsorted(dense[turn], np.arange(len(filled) + 1))
+        del dense, turn
         for number, tile in enumerate(filled.tolist()):
             mine = where[bounds[number] : bounds[number + 1]]
             found = np.bincount(left[mine] % SIDE * SIDE + right[mine] % SIDE, minlength=SIDE * SIDE)
@@ -134,12 +157,18 @@ def tile_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
             row, column = tile // across * SIDE + cell // SIDE, tile % across * SIDE + cell % SIDE
             cells.append(row << 32 | column)
             counts.append(found[cell])
+        del where
         left, right = left[~hit], right[~hit]
-    order = np.sort(left << 32 | right)
+    order = left.astype(np.int64)
+    order <<= 32
+    order |= right
+    del left, right
+    order.sort()
     if len(order):
         first = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
         cells.append(order[first])
         counts.append(np.diff(np.concatenate((first, [len(order)]))))
+    del order
     cells = np.concatenate(cells)
     return cells >> 32, cells & 0xFFFFFFFF, np.concatenate(counts)
 
@@ -192,33 +221,42 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, pa.Array
             yield cut_words(texts, langs), langs
 
 
+def _slices_by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, Words]]:
+    """Words of slices of one language's texts; a slice is copied when its turn comes."""
+    names = batch.column(1).fill_null(UNKNOWN).dictionary_encode()
+    sizes, owners = np.diff(bytes_of(batch.column(0))[1]), names.indices.to_numpy()
+    for number, lang in enumerate(names.dictionary.to_pylist()):
+        mine = np.flatnonzero(owners == number)
+        before = np.cumsum(sizes[mine]) - sizes[mine]
+        for rows in np.split(mine, np.flatnonzero(np.diff(before // SLICE)) + 1):
+            taken = batch.take(pa.array(rows))
+            yield lang, cut_words(taken.column(0), taken.column(1))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(code, lang, word, a) of all words of (text, lang), once per language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(1).fill_null(UNKNOWN)
-            for lang in langs.unique().to_pylist():
-                mine = batch.filter(pc.equal(langs, lang))
-                for words, _ in _slices(iter([mine])):
-                    codes, first, counts = np.unique(words.codes, return_index=True, return_counts=True)
-                    if not len(codes):
-                        continue
-                    # Words and the gaps after them are the cells of one array of bytes.
-                    bounds = np.column_stack((words.begins, words.ends)).ravel()
-                    spelled = pa.LargeStringArray.from_buffers(
-                        len(bounds) - 1, pa.py_buffer(np.append(bounds, bounds[-1])[: len(bounds)].tobytes()),
-                        pa.py_buffer(words.data.tobytes()),
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(codes.view(np.int64)),
-                            pa.array([lang] * len(codes), pa.string()),
-                            spelled.take(pa.array(2 * first)).cast(pa.string()),
-                            pa.array(counts),
-                        ],
-                        names=["code", "lang", "word", "a"],
-                    )
+            for lang, words in _slices_by_language(batch):
+                codes, first, counts = np.unique(words.codes, return_index=True, return_counts=True)
+                if not len(codes):
+                    continue
+                # Words and the gaps after them are the cells of one array of bytes.
+                bounds = np.column_stack((words.begins, words.ends)).ravel()
+                spelled = pa.LargeStringArray.from_buffers(
+                    len(bounds) - 1, pa.py_buffer(np.append(bounds, bounds[-1])[: len(bounds)].tobytes()),
+                    pa.py_buffer(words.data.tobytes()),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(codes.view(np.int64)),
+                        pa.array([lang] * len(codes), pa.string()),
+                        spelled.take(pa.array(2 * first)).cast(pa.string()),
+                        pa.array(counts),
+                    ],
+                    names=["code", "lang", "word", "a"],
+                )
 
     counted = docs.mapInArrow(run, "code long, lang string, word string, a long")
     return counted.groupBy("code", "lang", "word").agg(F.sum("a").alias("a"))
@@ -231,32 +269,42 @@ def neighbour_counts(docs: DataFrame, levels: list[Broadcast]) -> DataFrame:
         tables = [level.value for level in levels]
         codes = tables[-1].codes
 
-        def counted(cells: list[np.ndarray], rest: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            cells = np.concatenate(cells)
-            left, right, counts = tile_counts(cells >> 32, cells & 0xFFFFFFFF)
-            left, right = codes[left], codes[right]
-            rest = np.concatenate(rest)
-            if len(rest):
-                others, more = np.unique(rest, return_counts=True)
-                left, right = np.concatenate((left, others["l"])), np.concatenate((right, others["r"]))
-                counts = np.concatenate((counts, more))
-            columns = [pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(counts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["left", "right", "a"])
-
-        cells, rest, size = [], [], 0
+        def given(left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for begin in range(0, len(counts), ROWS):
+                columns = [side[begin : begin + ROWS].view(np.int64) for side in (left, right)]
+                columns.append(counts[begin : begin + ROWS])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["left", "right", "a"])
+
+        def counted(ranks: list[list[np.ndarray]], rest: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            # The lists are emptied here: what has been joined is not held twice.
+            sides = [np.concatenate(side) for side in ranks]
+            ranks.clear()
+            left, right, counts = tile_counts(*sides)
+            del sides
+            yield from given(codes[left], codes[right], counts)
+            del left, right, counts
+            others = np.concatenate(rest)
+            rest.clear()
+            if len(others):
+                others, counts = np.unique(others, return_counts=True)
+                yield from given(others["l"].copy(), others["r"].copy(), counts)
+
+        ranks, rest, size = [[], []], [], 0
         for words, _ in _slices(batches):
             ranks1, codes1, ranks2, codes2 = _neighbours(words, tables)
             both = (ranks1 >= 0) & (ranks2 >= 0)
-            cells.append(ranks1[both] << 32 | ranks2[both])
+            ranks[0].append(ranks1[both].astype(np.int32))
+            ranks[1].append(ranks2[both].astype(np.int32))
             rest.append(np.rec.fromarrays([codes1[~both], codes2[~both]], names="l,r"))
             size += len(ranks1)
             if size >= BUFFER:
-                yield from counted(cells, rest)
-                cells, rest, size = [], [], 0
+                yield from counted(ranks, rest)
+                ranks, rest, size = [[], []], [], 0
         if size:
-            yield from counted(cells, rest)
+            yield from counted(ranks, rest)
 
-    counted = docs.mapInArrow(run, "left long, right long, a long")
+    # Most pairs are rare, so that adding up before the shuffle would fill memory for little.
+    counted = docs.mapInArrow(run, "left long, right long, a long").repartition("left", "right")
     return counted.groupBy("left", "right").agg(F.sum("a").alias("a"))
 
 
@@ -337,7 +385,8 @@ def phrases(
     levels, sent, found = [_ranked(items, state["rows"], ranked, None)], [], []
     for size in range(2, longest + 1):
         sent.append(spark.sparkContext.broadcast(levels[-1]))
-        counted = neighbour_counts(read, sent).filter(F.col("a") >= least)
+        # Few pairs of a part are frequent: they go on in parts of useful size, not in as many small files.
+        counted = neighbour_counts(read, sent).filter(F.col("a") >= least).hint("rebalance")
         pairs, state = cut_and_measure(_with_codes(counted))
         _only_once(pairs)
         levels.append(_ranked(pairs, state["rows"], ranked, levels[-1]))

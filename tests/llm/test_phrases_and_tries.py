@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tablewright.llm import bpe_trie, conversation_trie, phrases
+from tests.conftest import plan_text
 
 FOLDER = "/root/testdata/sf0.01"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,6 +108,54 @@ def test_words_end_with_their_text():
     assert words.joined.tolist() == [False, True, False, False]
 
 
+def most_bytes(work, *values):
+    tracemalloc.start()
+    work(*values)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_work_arrays_stay_small():
+    """A slice took 30 times its bytes and a pair 51 bytes; 100,000 pairs of far ids took 150 MB."""
+    rng = np.random.default_rng(3)
+    words = [f"w{n}" for n in range(5000)]
+    texts = pa.array([" ".join(words[n] for n in row) for row in rng.integers(0, len(words), (1200, 300))])
+    assert most_bytes(phrases.cut_words, texts, pa.array(["x"] * len(texts))) < 26 * texts.nbytes
+    left, right = (rng.zipf(1.2, phrases.BUFFER) % 60_000 for _ in range(2))
+    assert most_bytes(phrases.tile_counts, left, right) < 32 * phrases.BUFFER
+    far = rng.integers(0, phrases.RANKED, (2, 100_000))
+    assert most_bytes(phrases.tile_counts, *far) < 20e6
+
+
+def test_words_longer_than_a_step_are_coded_alike():
+    long = "v" * (2 * phrases.STEP + 5)
+    texts = pa.array([f" {long} a", "a", "b " * phrases.STEP + "a " + long])
+    words = phrases.cut_words(texts, pa.array(["x"] * 3))
+    assert words.codes[0] == words.codes[-1]
+    assert words.codes[1] == words.codes[2] == words.codes[-2]
+    assert len(set(words.codes.tolist())) == 3
+
+
+def test_pairs_are_not_added_up_before_their_shuffle(spark):
+    """Map tasks held 250 MB each for sums of pairs that left nine tenths of the rows."""
+    docs = spark.createDataFrame([("one two", "en")], "text string, lang string")
+    lines = plan_text(phrases.neighbour_counts(docs, [])).splitlines()
+    shuffle = next(n for n, line in enumerate(lines) if "Exchange" in line)
+    assert not any("Aggregate" in line for line in lines[shuffle:])
+
+
+def test_languages_are_cut_apart_in_slices(monkeypatch):
+    monkeypatch.setattr(phrases, "SLICE", 8)
+    texts, langs = pa.array(["a b", None, "c", "a" * 20, "", "b", "a c d"]), pa.array(["x", "y", None, "x", "und", "y", "x"])
+    found = Counter()
+    for lang, words in phrases._slices_by_language(pa.record_batch([texts, langs], names=["text", "lang"])):
+        found.update((lang, words.data[b:e].tobytes().decode()) for b, e in zip(words.begins, words.ends))
+    assert found == Counter(
+        (lang or "und", word) for text, lang in zip(texts.to_pylist(), langs.to_pylist()) for word in (text or "").split()
+    )
+
+
 # Encoding and decoding
 
 
